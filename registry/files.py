@@ -1,0 +1,258 @@
+"""Sources, sinks and incremental refresh, on files Spark writes from the given tables."""
+
+from __future__ import annotations
+
+from datetime import date
+
+from pyspark.sql import functions as F
+
+from registry import stand_ins as s
+from registry.base import query, table
+from registry.ctes import with_
+from tidewatt import schemas
+from tidewatt.functions.calendar import yyyymm
+from tidewatt.operators.joins import missing_from
+from tidewatt.plans import core, staging
+from tidewatt.schemas import MTIME
+from tidewatt.session import scratch_path
+from tidewatt.sources import files, runs, sinks
+from tidewatt.streaming import incremental
+
+PART = r"^part-(\d+)-.*\.csv(?:\.gz)?$"
+RAW_PRICE = """SELECT CAST(trading_date AS VARCHAR) AS trading_date, CAST(tp_number AS VARCHAR) AS trading_period,
+     poc_code AS point_of_connection, price_nzd_mwh AS price FROM raw_price"""
+
+
+def _price_file(spark, sf, name, **options):
+    """Raw prices under their published header, as CSV."""
+    path = scratch_path(spark, name)
+    named = [F.col(target).alias(source) for source, target in schemas.PRICE.items()]
+    s.raw_price(spark, sf).select(*named).write.options(header=True, **options).csv(path)
+    return path
+
+
+def _with_number(df):
+    return df.select(
+        "trading_date", "trading_period", "point_of_connection", F.col("dollars_per_mwh").cast("double").alias("price")
+    )
+
+
+@query("csv_positional", with_("raw_price", RAW_PRICE))
+def csv_positional(spark, sf):
+    path = _price_file(spark, sf, "positional")
+    return _with_number(files.scan_csv(spark, path, schemas.PRICE, PART, "part", by_position=True))
+
+
+@query("csv_named_gzip", with_("raw_price", RAW_PRICE))
+def csv_named_gzip(spark, sf):
+    path = _price_file(spark, sf, "gzip", compression="gzip")
+    return _with_number(files.scan_csv(spark, path, schemas.PRICE, PART, "part", spread=8))
+
+
+@query("csv_inferred", with_("raw_price", RAW_PRICE))
+def csv_inferred(spark, sf):
+    return _with_number(files.scan_inferred(spark, _price_file(spark, sf, "inferred"), schemas.PRICE))
+
+
+@query(
+    "csv_null_tokens",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderstatus END AS status FROM orders""",
+)
+def csv_null_tokens(spark, sf):
+    o = table(spark, sf, "orders")
+    path = scratch_path(spark, "tokens")
+    status = F.when(F.col("o_orderstatus") == "O", F.when(F.col("o_orderkey") % 2 == 0, "NULL").otherwise("null"))
+    o.select("o_orderkey", status.otherwise(F.col("o_orderstatus")).alias("status")).write.option("header", True).csv(path)
+    back = files.scan_csv(
+        spark, path, {"o_orderkey": "o_orderkey", "status": "status"}, tokens=("", "NULL", "null")
+    )
+    return back.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "status")
+
+
+@query(
+    "csv_tolerant",
+    """SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 10 <> 0""",
+)
+def csv_tolerant(spark, sf):
+    """Every tenth line has a surplus field and is skipped."""
+    o = table(spark, sf, "orders")
+    path = scratch_path(spark, "tolerant")
+    surplus = F.when(F.col("o_orderkey") % 10 == 0, ",x").otherwise("")
+    o.select(F.concat(F.col("o_orderkey").cast("string"), F.lit(","), "o_orderstatus", surplus).alias("value")).write.text(path)
+    rows = (
+        spark.read.schema("o_orderkey string, o_orderstatus string, _bad_row string")
+        .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad_row").csv(path)
+    )
+    good = rows.filter(F.col("_bad_row").isNull())
+    return good.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "o_orderstatus")
+
+
+@query(
+    "stitched_months",
+    """SELECT strftime(o_orderdate, '%Y%m') AS trading_month, o_orderkey, CASE WHEN month(o_orderdate) = 2
+         THEN 'daily' ELSE 'monthly' END AS origin FROM orders""",
+)
+def stitched_months(spark, sf):
+    """Februaries have no monthly file; their days are stitched in."""
+    o = table(spark, sf, "orders").select(yyyymm("o_orderdate").alias("trading_month"), "o_orderkey", "o_orderdate")
+    monthly = o.filter(F.month("o_orderdate") != 2).withColumn("origin", F.lit("monthly"))
+    daily = o.withColumn("origin", F.lit("daily"))
+    return files.stitched(monthly, daily).drop("o_orderdate")
+
+
+@query(
+    "latest_release",
+    """SELECT o_orderstatus AS status, count(*) AS row_count FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1""",
+)
+def latest_release(spark, sf):
+    """Two releases of a file per period; only the one whose name sorts last is read."""
+    base = scratch_path(spark, "releases")
+    o = table(spark, sf, "orders").select(
+        F.col("o_orderstatus").alias("period"), "o_orderkey", F.col("o_orderstatus").alias("status"),
+        (F.col("o_orderkey") % 2).alias("version"),
+    )
+    o.repartition("period", "version").write.partitionBy("period", "version").option("header", True).csv(base)
+    found = files.list_files(spark, base).withColumn("name", F.regexp_extract("path", r"(period=\w+/version=\d+)", 1))
+    newest = files.latest_file_per_period(found, r"^period=(\w+)/")
+    chosen = [f"{r.path.rsplit('/', 1)[0]}" for r in newest.select("path").collect()]
+    rows = files.scan_csv(spark, chosen, {"o_orderkey": "o_orderkey", "status": "status"})
+    return rows.groupBy("status").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query("json_extract", "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events")
+def json_extract(spark, sf):
+    return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))
+
+
+@query(
+    "run_results_json",
+    """SELECT 'inv-' || event_id AS invocation_id, kind || '.p.' || event_type AS node_unique_id, kind AS node_type,
+         event_type AS node_name, 'pass' AS status, value AS execution_time_seconds, props AS message,
+         CASE WHEN kind = 'test' THEN CAST(user_id AS VARCHAR) ELSE '' END AS failures
+       FROM events, (VALUES ('model'), ('test')) AS k(kind)""",
+)
+def run_results_json(spark, sf):
+    """A document with two results per event, parsed back to rows."""
+    e = table(spark, sf, "events")
+
+    def result(kind, failures):
+        return F.struct(
+            F.concat(F.lit(f"{kind}.p."), "event_type").alias("unique_id"),
+            F.lit("pass").alias("status"),
+            F.col("value").alias("execution_time"),
+            failures.alias("failures"),
+            F.rpad("props", 600, " ").alias("message"),
+        )
+
+    doc = F.to_json(F.struct(
+        F.struct(F.concat(F.lit("inv-"), F.col("event_id").cast("string")).alias("invocation_id")).alias("metadata"),
+        F.array(result("model", F.lit(None).cast("long")), result("test", F.col("user_id"))).alias("results"),
+    ))
+    parsed = runs.parse_run_results(e.select(doc.alias("doc")), "doc")
+    return parsed.select(
+        "invocation_id", "node_unique_id", "node_type", "node_name", "status",
+        F.col("execution_time_seconds").cast("double").alias("execution_time_seconds"),
+        F.rtrim("message").alias("message"), "failures",
+    )
+
+
+# ---- sinks -----------------------------------------------------------------------------------
+
+
+def _orders(spark, sf):
+    return table(spark, sf, "orders").select(
+        "o_orderkey", F.col("o_orderdate").cast("date").alias("day"), "o_totalprice",
+        yyyymm("o_orderdate").alias("month"),
+    )
+
+
+@query(
+    "period_replace",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, strftime(o_orderdate, '%Y%m') AS month,
+         CASE WHEN year(o_orderdate) = 1997 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders""",
+)
+def period_replace(spark, sf):
+    """Load everything, then replace the months of one year, twice."""
+    path = scratch_path(spark, "replace")
+    o = _orders(spark, sf)
+    sinks.replace_all(o, path, ["month"])
+    year = o.filter(F.col("month").between("199701", "199712")).withColumn("o_totalprice", -F.col("o_totalprice"))
+    for _ in range(2):
+        sinks.replace_period(year, path, "month")
+    return spark.read.schema(o.schema).parquet(path)
+
+
+@query(
+    "incremental_upsert",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, strftime(o_orderdate, '%Y%m') AS month,
+         CASE WHEN o_orderdate >= DATE '1999-12-10' THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders
+       WHERE o_orderdate >= DATE '1999-12-10' OR o_orderdate < DATE '2000-01-01'""",
+)
+def incremental_upsert(spark, sf):
+    path = scratch_path(spark, "upsert")
+    o = _orders(spark, sf)
+    sinks.upsert(spark, path, o.filter("day < '2000-01-01'"), ["o_orderkey"], "month")
+    batch = o.filter("day >= '1999-12-10'").withColumn("o_totalprice", -F.col("o_totalprice"))
+    for _ in range(2):
+        sinks.upsert(spark, path, batch, ["o_orderkey"], "month")
+    return spark.read.schema(o.schema).parquet(path)
+
+
+@query(
+    "replace_window",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, strftime(o_orderdate, '%Y%m') AS month, o_totalprice FROM orders
+       WHERE o_orderdate < DATE '2000-06-15' OR o_orderkey % 2 = 0""",
+)
+def replace_window(spark, sf):
+    """Half of the rows of the window vanish from the source; they must leave the table too."""
+    path = scratch_path(spark, "window")
+    o = _orders(spark, sf)
+    sinks.replace_all(o, path, ["month"])
+    batch = o.filter("day >= '2000-06-15' AND o_orderkey % 2 = 0")
+    sinks.replace_window(spark, path, batch, "day", date(2000, 6, 15), "month", "200006")
+    return spark.read.schema(o.schema).parquet(path)
+
+
+@query("incremental_price", with_("price", "SELECT * EXCLUDE mtime FROM price"))
+def incremental_price(spark, sf):
+    """The price fact built to 20 January, then refreshed twice from all prices."""
+    path = scratch_path(spark, "price")
+    prices = staging.stg_price(s.raw_price(spark, sf))
+    first = prices.filter("trading_date <= '2024-01-20'")
+    for source in (first, prices, prices):
+        incremental.refresh(spark, path, "fct_price", source, core.fct_price)
+    return incremental.load(spark, path).drop(MTIME)
+
+
+@query(
+    "lookback_window",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day FROM orders WHERE o_orderdate >=
+         (SELECT max(o_orderdate) - INTERVAL 3 DAYS FROM orders WHERE o_orderdate < DATE '2001-06-01')""",
+)
+def lookback_window(spark, sf):
+    o = _orders(spark, sf)
+    return incremental.lookback_filter(o, o.filter("day < '2001-06-01'"), "day", 3).select("o_orderkey", "day")
+
+
+@query(
+    "month_lookback_window",
+    """SELECT o_orderkey, strftime(o_orderdate, '%Y%m') AS month FROM orders WHERE o_orderdate >= DATE '2000-12-01'""",
+)
+def month_lookback_window(spark, sf):
+    o = _orders(spark, sf)
+    target = o.filter("day < '2001-02-01'").withColumnRenamed("month", "year_month")
+    return incremental.month_lookback_filter(o, target, "month", "year_month").select("o_orderkey", "month")
+
+
+@query("load_report", "SELECT strftime(o_orderdate, '%Y%m') AS month, count(*) AS row_count FROM orders GROUP BY 1")
+def load_report(spark, sf):
+    return sinks.load_report(_orders(spark, sf), "month")
+
+
+@query(
+    "anti_join",
+    "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+)
+def anti_join(spark, sf):
+    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    return missing_from(table(spark, sf, "customer").select("c_custkey", "c_name"), buyers, ["c_custkey"])

@@ -43,6 +43,6 @@ def optional_limit(df: DataFrame, n: int | None) -> DataFrame:
 
 
 def seeded_sample(df: DataFrame, n: int, keys: Sequence[str], seed: int = 42) -> DataFrame:
-    """A repeatable pseudo-random choice of n rows: the n smallest key hashes."""
-    h = F.xxhash64(*[F.col(k) for k in keys], F.lit(seed))
-    return df.orderBy(h, *[F.col(k) for k in keys]).limit(n)
+    """A repeatable pseudo-random choice of n rows: those whose seeded key digest sorts first."""
+    digest = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    return df.orderBy(digest, *[F.col(k) for k in keys]).limit(n)
