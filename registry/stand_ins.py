@@ -13,9 +13,15 @@ from registry.base import table
 from tidewatt.functions.calendar import half_hour, yyyymm
 from tidewatt.plans import core, marts, staging
 from tidewatt.schemas import MTIME
+from tidewatt.session import spread_small
 from tidewatt.sources import seeds
 
 
+def source(spark, sf, name):
+    """A given table about to be turned into text, which is worth a task per core."""
+    return spread_small(table(spark, sf, name))
+
+
 def text(c):
     return c.cast("string")
 
@@ -28,7 +34,7 @@ def labelled(prefix, c):
 
 
 def raw_price(spark, sf):
-    e = table(spark, sf, "events")
+    e = source(spark, sf, "events")
     day = F.col("ts").cast("date")
     return e.select(
         text(day).alias("trading_date"),
@@ -56,7 +62,7 @@ def mapped(column, mapping):
 
 def raw_generation(spark, sf):
     """Period matrix in two file versions; a cell is the largest reading of its half hour."""
-    e = table(spark, sf, "events")
+    e = source(spark, sf, "events")
     cells = e.select(
         labelled("S", "user_id").alias("site_code"),
         labelled("N", "user_id").alias("poc_code"),
@@ -81,7 +87,7 @@ def stg_generation(spark, sf):
 
 
 def raw_run(spark, sf):
-    e = table(spark, sf, "events")
+    e = source(spark, sf, "events")
     kind = F.when(F.col("event_type").isin("error", "signup"), "test").otherwise("model")
     status = mapped(
         "event_type",
@@ -122,7 +128,7 @@ def _event_calendar(l):
 
 
 def raw_market_volume(spark, sf):
-    l = _event_calendar(table(spark, sf, "lineitem"))
+    l = _event_calendar(source(spark, sf, "lineitem"))
     return l.select(
         F.col("_poc").alias("point_of_connection"),
         F.concat(F.lit("W"), "l_linestatus").alias("network"),
@@ -143,7 +149,7 @@ def fct_market_volume(spark, sf):
 
 
 def raw_offers(spark, sf):
-    l = _event_calendar(table(spark, sf, "lineitem"))
+    l = _event_calendar(source(spark, sf, "lineitem"))
     return l.select(
         text(F.col("_day")).alias("trading_date"),
         text(F.col("_tp")).alias("trading_period"),
@@ -192,7 +198,7 @@ FUEL_OF_PART = {
 
 def history_cells(spark, sf):
     """Seven years of generator readings in long form."""
-    l = table(spark, sf, "lineitem").join(
+    l = source(spark, sf, "lineitem").join(
         table(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey"
     )
     day = F.col("l_shipdate").cast("date")
@@ -218,7 +224,7 @@ def history(spark, sf):
 
 def history_price(spark, sf):
     """Prices over the same seven years."""
-    l = table(spark, sf, "lineitem")
+    l = source(spark, sf, "lineitem")
     day = F.col("l_shipdate").cast("date")
     raw = l.select(
         text(day).alias("trading_date"),
@@ -270,7 +276,7 @@ LAKES = ("NI_TPO", "NI_WKA", "SI_TKA", "SI_PKI", "SI_OHA", "SI_HWE", "SI_WAN", "
 
 
 def raw_hydro(spark, sf):
-    o = table(spark, sf, "orders")
+    o = source(spark, sf, "orders")
     site = F.element_at(F.array(*[F.lit(x) for x in LAKES], F.lit("SI_XXX")), (F.col("o_custkey") % 11 + 1).cast("int"))
     level = text(F.col("o_totalprice") / 1000)
     return o.select(

@@ -15,50 +15,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DAY = 86400
-_MOMENTS = "struct<n:bigint,mean:double,m2:double,lo:double,hi:double>"
+_FIELDS = "n mean m2 lo hi".split()
 
 
-def _moments(x: Column, window=None) -> Column:
-    """Count, mean, sum of squared deviations and range of x, mergeable in any order."""
+def _moments(x: Column, name: str, window=None) -> list[Column]:
+    """Count, mean, sum of squared deviations and range of x as columns {name}_n, {name}_mean, ..."""
 
     def agg(fn):
         return fn(x) if window is None else fn(x).over(window)
 
     n = agg(F.count)
-    return F.struct(
-        n.alias("n"),
-        agg(F.avg).alias("mean"),
-        (agg(F.var_pop) * n).alias("m2"),
-        agg(F.min).alias("lo"),
-        agg(F.max).alias("hi"),
-    )
+    values = [n, agg(F.avg), agg(F.var_pop) * n, agg(F.min), agg(F.max)]
+    return [v.alias(f"{name}_{f}") for v, f in zip(values, _FIELDS)]
 
 
-def _merge(a: Column, b: Column) -> Column:
-    """Moments of the union of two disjoint sets of rows."""
-    na, nb = a["n"].cast("double"), b["n"].cast("double")
-    n = na + nb
-    gap = b["mean"] - a["mean"]
-    both = F.struct(
-        (a["n"] + b["n"]).alias("n"),
-        ((na * a["mean"] + nb * b["mean"]) / n).alias("mean"),
-        (a["m2"] + b["m2"] + gap * gap * na * nb / n).alias("m2"),
-        F.least(a["lo"], b["lo"]).alias("lo"),
-        F.greatest(a["hi"], b["hi"]).alias("hi"),
-    )
-    return (
-        F.when(a.isNull() | (a["n"] == 0), b).when(b.isNull() | (b["n"] == 0), a).otherwise(both)
+def _combine(df: DataFrame, parts: Sequence[str], name: str) -> DataFrame:
+    """Moments of the union of disjoint parts; a part without rows may be null.
+
+    The mean comes first, deviations are taken from it: no cancellation of large squares.
+    """
+    zero = F.lit(0.0)
+    count = [F.coalesce(F.col(f"{p}_n"), F.lit(0)) for p in parts]
+    total = sum(count[1:], count[0])
+    weighted = [c * F.coalesce(F.col(f"{p}_mean"), zero) for c, p in zip(count, parts)]
+    df = df.withColumn(f"{name}_n", total)
+    df = df.withColumn(
+        f"{name}_mean",
+        sum(weighted[1:], weighted[0]) / F.nullif(F.col(f"{name}_n").cast("double"), zero),
     )
+    spread = [
+        F.coalesce(F.col(f"{p}_m2"), zero)
+        + c * F.coalesce(F.pow(F.col(f"{p}_mean") - F.col(f"{name}_mean"), 2), zero)
+        for c, p in zip(count, parts)
+    ]
+    df = df.withColumn(f"{name}_m2", sum(spread[1:], spread[0]))
+    lows, highs = [F.col(f"{p}_lo") for p in parts], [F.col(f"{p}_hi") for p in parts]
+    return df.withColumns({f"{name}_lo": F.least(*lows), f"{name}_hi": F.greatest(*highs)})
 
 
-def _mean(m: Column) -> Column:
+def _mean(m: str) -> Column:
     # Equal extremes mean a constant frame, where the value itself is the exact mean.
-    return F.when(m["lo"] == m["hi"], m["lo"]).when(m["n"] > 0, m["mean"])
+    return F.when(F.col(f"{m}_lo") == F.col(f"{m}_hi"), F.col(f"{m}_lo")).otherwise(F.col(f"{m}_mean"))
 
 
-def _stddev(m: Column) -> Column:
-    spread = F.sqrt(m["m2"] / (m["n"] - 1))
-    return F.when(m["n"] < 2, None).when(m["lo"] == m["hi"], 0.0).otherwise(spread)
+def _stddev(m: str) -> Column:
+    n = F.col(f"{m}_n")
+    return (
+        F.when(n < 2, None)
+        .when(F.col(f"{m}_lo") == F.col(f"{m}_hi"), 0.0)
+        .otherwise(F.sqrt(F.col(f"{m}_m2") / (n - 1)))
+    )
 
 
 def trailing_days(
@@ -80,15 +86,26 @@ def trailing_days(
     rows = df.withColumn("_at", second).withColumn("_day", F.floor(F.col("_at") / DAY))
     rows = rows.withColumn("_tod", F.col("_at") - F.col("_day") * DAY).drop("_at")
 
-    # One row per key and day; the fold below sees at most days - 1 of them.
-    daily = rows.groupBy(*keys, "_day").agg(_moments(x).alias("_m"))
-    between = Window.partitionBy(*keys).orderBy("_day").rangeBetween(1 - days, -1)
+    # One row per key and day. Days are folded around the key's own mean, so that squares stay
+    # small; a frame holds at most days - 1 of these rows.
+    daily = rows.groupBy(*keys, "_day").agg(*_moments(x, "_d"))
+    series = Window.partitionBy(*keys)
+    between = series.orderBy("_day").rangeBetween(1 - days, -1)
+    centre = F.sum(F.col("_d_n") * F.col("_d_mean")).over(series) / F.nullif(
+        F.sum("_d_n").over(series), F.lit(0)
+    )
+    daily = daily.withColumn("_c", centre).withColumn("_off", F.col("_d_mean") - F.col("_c"))
+    n, off = F.sum("_d_n").over(between), F.sum(F.col("_d_n") * F.col("_off")).over(between)
+    square = F.sum(F.col("_d_m2") + F.col("_d_n") * F.col("_off") * F.col("_off")).over(between)
+    mean_off = off / F.nullif(n, F.lit(0))
     whole = daily.select(
         *keys,
         "_day",
-        F.aggregate(
-            F.collect_list("_m").over(between), F.lit(None).cast(_MOMENTS), _merge
-        ).alias("_whole"),
+        n.alias("_whole_n"),
+        (F.col("_c") + mean_off).alias("_whole_mean"),
+        F.greatest(square - off * mean_off, F.lit(0.0)).alias("_whole_m2"),
+        F.min("_d_lo").over(between).alias("_whole_lo"),
+        F.max("_d_hi").over(between).alias("_whole_hi"),
     )
 
     # Every row also visits the day it leaves the frame, as a copy without payload.
@@ -113,17 +130,12 @@ def trailing_days(
     )
     framed = copies.select(
         "*",
-        _moments(F.when(F.col("_own"), x), head).alias("_head"),
-        _moments(F.when(~F.col("_own"), x), tail).alias("_tail"),
+        *_moments(F.when(F.col("_own"), x), "_head", head),
+        *_moments(F.when(~F.col("_own"), x), "_tail", tail),
     ).filter("_own")
-    out = (
-        framed.join(whole, [*keys, "_day"], "left")
-        .withColumn("_m", _merge(F.col("_tail"), F.col("_whole")))
-        .withColumn("_m", _merge(F.col("_m"), F.col("_head")))
-    )
-    return out.select(
-        *df.columns, _mean(F.col("_m")).alias(mean), _stddev(F.col("_m")).alias(stddev)
-    )
+    joined = framed.join(whole, [*keys, "_day"], "left")
+    out = _combine(joined, ["_tail", "_whole", "_head"], "_m")
+    return out.select(*df.columns, _mean("_m").alias(mean), _stddev("_m").alias(stddev))
 
 
 def trailing_rows(
@@ -185,14 +197,14 @@ def trailing_rows(
     framed = copies.select(
         "*",
         *[F.lag(c).over(by_pos).alias(out) for out, c in (previous or {}).items()],
-        *[_moments(F.when(F.col("_own"), F.col(c)), head).alias(f"_head_{c}") for c in sources],
-        *[_moments(F.when(~F.col("_own"), F.col(c)), tail).alias(f"_tail_{c}") for c in sources],
+        *[m for c in sources for m in _moments(F.when(F.col("_own"), F.col(c)), f"_head_{c}", head)],
+        *[m for c in sources for m in _moments(F.when(~F.col("_own"), F.col(c)), f"_tail_{c}", tail)],
     ).filter("_own")
     for c in sources:
-        framed = framed.withColumn(f"_m_{c}", _merge(F.col(f"_tail_{c}"), F.col(f"_head_{c}")))
+        framed = _combine(framed, [f"_tail_{c}", f"_head_{c}"], f"_m_{c}")
     finish = {"avg": _mean, "stddev": _stddev}
     return framed.select(
         *df.columns,
         *(previous or {}),
-        *[finish[kind](F.col(f"_m_{c}")).alias(out) for out, (c, kind) in measures.items()],
+        *[finish[kind](f"_m_{c}").alias(out) for out, (c, kind) in measures.items()],
     )

@@ -51,3 +51,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss, unlike a cached or local one."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Re-split a scan that has fewer splits than the session has cores.
+
+    A small file (one row group, one gzip stream) would otherwise be converted in one task.
+    Large inputs have more splits than cores and pass through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
