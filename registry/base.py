@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewatt.session import configure
+from tidewatt.session import configure, spread_small
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -41,5 +41,16 @@ def sql4(expr: str, name: str | None = None) -> str:
     return f"round(({expr}) + 1e-9, 4) AS {name or expr}"
 
 
-def table(spark, sf_dir: str, name: str):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+_FRAMES: dict = {}
+
+
+def table(spark, sf_dir: str, name: str, spread: bool = False):
+    """A given table; its listing and schema are read once per session.
+
+    spread re-splits a scan of fewer splits than cores, for queries that do much per row.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name, spread)
+    if key not in _FRAMES:
+        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        _FRAMES[key] = spread_small(df) if spread else df
+    return _FRAMES[key]

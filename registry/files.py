@@ -221,7 +221,7 @@ def incremental_price(spark, sf):
     first = prices.filter("trading_date <= '2024-01-20'")
     for source in (first, prices, prices):
         incremental.refresh(spark, path, "fct_price", source, core.fct_price)
-    return incremental.load(spark, path).drop(MTIME)
+    return incremental.load(spark, path, core.fct_price(prices)).drop(MTIME)
 
 
 @query(

@@ -13,13 +13,12 @@ from registry.base import table
 from tidewatt.functions.calendar import half_hour, yyyymm
 from tidewatt.plans import core, marts, staging
 from tidewatt.schemas import MTIME
-from tidewatt.session import spread_small
 from tidewatt.sources import seeds
 
 
 def source(spark, sf, name):
     """A given table about to be turned into text, which is worth a task per core."""
-    return spread_small(table(spark, sf, name))
+    return table(spark, sf, name, spread=True)
 
 
 def text(c):

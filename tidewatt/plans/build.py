@@ -13,7 +13,6 @@ from tidewatt.session import configure
 from tidewatt.sources import seeds, sinks
 from tidewatt.streaming import incremental
 
-_MONTH = "period_month"
 
 
 def build_all(
@@ -38,7 +37,7 @@ def build_all(
     def save(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/{name}"
         if "trading_date" in df.columns and not name.startswith("dim_"):
-            sinks.replace_all(df.withColumn(_MONTH, yyyymm("trading_date")), path, [_MONTH])
+            sinks.replace_all(df.withColumn(incremental.PERIOD, yyyymm("trading_date")), path, [incremental.PERIOD])
         else:
             sinks.replace_all(df, path)
         tables[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
@@ -50,9 +49,8 @@ def build_all(
             incremental.refresh(spark, path, name, source, build, p.lookback_days, exact)
         else:
             spec = incremental.TABLES[name]
-            sinks.replace_all(incremental._with_period(build(source), spec), path, [incremental.PERIOD])
-        columns = build(source).columns
-        tables[name] = spark.read.parquet(path).select(*columns)
+            sinks.replace_all(incremental.with_period(build(source), spec), path, [incremental.PERIOD])
+        tables[name] = incremental.load(spark, path, build(source))
         return tables[name]
 
     fuels = seeds.fuel_codes(spark)

@@ -7,20 +7,17 @@ from pyspark.sql import functions as F
 
 from tidewatt.schemas import RUN_COLUMNS
 
-DOCUMENT = """
-struct<
-  metadata: struct<invocation_id: string, generated_at: string, dbt_version: string>,
-  results: array<struct<
-    unique_id: string, status: string, execution_time: string, failures: string,
-    message: string, relation_name: string, adapter_response: struct<_message: string>>>>
-"""
+DOCUMENT = (
+    "metadata struct<invocation_id: string, generated_at: string, dbt_version: string>, "
+    "results array<struct<unique_id: string, status: string, execution_time: string, failures: string, "
+    "message: string, relation_name: string, adapter_response: struct<_message: string>>>"
+)
 MESSAGE_CHARS = 500
 
 
 def ingest_run_results(spark: SparkSession, path) -> DataFrame:
     """One text row per executed node; a document is one invocation."""
-    schema = DOCUMENT.strip()[len("struct<"):-1]
-    docs = spark.read.schema(schema).option("multiLine", True).json(path)
+    docs = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
     return flatten_run_results(docs)
 
 

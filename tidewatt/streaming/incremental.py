@@ -7,26 +7,28 @@ from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatt.functions.calendar import yyyymm
 from tidewatt.sources import sinks
+from tidewatt.sources.files import read_or_empty
 
 EPOCH = date(1900, 1, 1)
 
 
-def lookback_start(target: DataFrame | None, column: str, days: int) -> date:
+def lookback_start(target: DataFrame, column: str, days: int) -> date:
     """First day to process again. One value comes back, so that Spark prunes by a literal."""
-    newest = target.agg(F.max(column)).first()[0] if target is not None else None
+    newest = target.agg(F.max(column)).first()[0]
     return (newest or EPOCH) - timedelta(days=days)
 
 
-def lookback_filter(source: DataFrame, target: DataFrame | None, column: str, days: int) -> DataFrame:
+def lookback_filter(source: DataFrame, target: DataFrame, column: str, days: int) -> DataFrame:
     return source.filter(F.col(column) >= F.lit(lookback_start(target, column, days)))
 
 
-def month_lookback_start(target: DataFrame | None, column: str) -> str:
+def month_lookback_start(target: DataFrame, column: str) -> str:
     """The month before the newest one; the beginning of time for an empty target."""
-    newest = target.agg(F.max(column)).first()[0] if target is not None else None
+    newest = target.agg(F.max(column)).first()[0]
     if newest is None:
         return "000000"
     year, month = int(newest[:4]), int(newest[4:])
@@ -34,7 +36,7 @@ def month_lookback_start(target: DataFrame | None, column: str) -> str:
 
 
 def month_lookback_filter(
-    source: DataFrame, target: DataFrame | None, source_column: str, target_column: str
+    source: DataFrame, target: DataFrame, source_column: str, target_column: str
 ) -> DataFrame:
     return source.filter(F.col(source_column) >= month_lookback_start(target, target_column))
 
@@ -64,15 +66,11 @@ TABLES = {
 PERIOD = "period_month"  # partition folder: the month of the row
 
 
-def _with_period(df: DataFrame, spec: Incremental) -> DataFrame:
+def with_period(df: DataFrame, spec: Incremental) -> DataFrame:
     month = F.col(spec.column) if spec.monthly else yyyymm(spec.column)
     return df.withColumn(PERIOD, month)
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    return spark.read.parquet(path) if sinks.table_exists(spark, path) else None
-
-
 def refresh(
     spark: SparkSession,
     path: str,
@@ -89,7 +87,7 @@ def refresh(
     exact=True clears the whole window first.
     """
     spec = TABLES[name]
-    target = read_target(spark, path)
+    target = read_or_empty(spark, path, with_period(build(source), spec).schema)
     column = spec.source_column or spec.column
     if spec.monthly:
         start = month_lookback_start(target, spec.column)
@@ -97,12 +95,14 @@ def refresh(
     else:
         start = lookback_start(target, spec.column, lookback_days)
         first_period = start.strftime("%Y%m")
-    batch = _with_period(build(source.filter(F.col(column) >= F.lit(start))), spec)
+    batch = with_period(build(source.filter(F.col(column) >= F.lit(start))), spec)
     if exact:
         sinks.replace_window(spark, path, batch, spec.column, start, PERIOD, first_period)
     else:
         sinks.upsert(spark, path, batch, spec.keys, PERIOD)
 
 
-def load(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(PERIOD)
+def load(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table at `path` with the columns of `like`; empty while nothing was written."""
+    schema = T.StructType([*like.schema.fields, T.StructField(PERIOD, T.StringType())])
+    return read_or_empty(spark, path, schema).select(*like.columns)
