@@ -84,6 +84,16 @@ def yoy(spark, sf):
     return rounded(serving.year_over_year(monthly(spark, sf)), *YOY_COLUMNS)
 
 
+@query(
+    "renewable_yoy",
+    with_("ratio", f"""SELECT a.year_month, a.renewable_pct, b.renewable_pct AS prior_renewable_pct,
+          {sql4('CASE WHEN b.renewable_pct <> 0 THEN (a.renewable_pct - b.renewable_pct)/b.renewable_pct*100 END', 'yoy_pct')}
+          FROM ratio a LEFT JOIN ratio b ON CAST(a.year_month AS INTEGER) = CAST(b.year_month AS INTEGER) + 100"""),
+)
+def renewable_yoy(spark, sf):
+    return rounded(serving.renewable_year_over_year(ratio(spark, sf)), "yoy_pct")
+
+
 @query(
     "latest_mix",
     with_("monthly", f"""SELECT year_month, fuel_type, {sql4('total_generation_gwh')},

@@ -177,6 +177,12 @@ def test_measures(spark):
         measures.share_pct(F.lit(1), F.lit(-2)), measures.kwh_to_gwh(F.lit(2_000_000)),
     ).first()
     assert tuple(r) == (None, 0.25, None, 2.0)
+    labels = spark.range(1).select(
+        measures.number_label(F.lit(1234.56), 1, " GWh"), measures.number_label(F.lit(None).cast("double")),
+        measures.delta_label(F.lit(3.25), 1, "%"), measures.delta_label(F.lit(-3.0), 0), measures.month_label(F.lit("202401")),
+        measures.date_label(F.lit(date(2024, 1, 5))), measures.price_label(F.lit(1450.0)),
+    ).first()
+    assert tuple(labels) == ("1,234.6 GWh", "N/A", "+3.2%", "-3", "Jan 2024", "05 Jan 2024", "$1,450/MWh")
     c = spark.createDataFrame([(1.0, 2.0), (2.0, 4.0), (3.0, 6.0), (None, 1.0)], "x double, y double")
     assert abs(c.agg(measures.correlation("x", "y")).first()[0] - 1.0) < 1e-12
     assert c.agg(measures.correlation("x", F.lit(5.0))).first()[0] is None  # no variance

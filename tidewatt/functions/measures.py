@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tidewatt.functions.calendar import month_start
 from tidewatt.params import Params
 
 
@@ -102,6 +103,27 @@ def on_target(measure: str | Column, ok: Column) -> Column:
     )
 
 
+def number_label(c: str | Column, digits: int = 1, suffix: str = "") -> Column:
+    """'1,234.5 GWh'; 'N/A' for NULL."""
+    return F.coalesce(F.concat(F.format_number(_column(c), digits), F.lit(suffix)), F.lit("N/A"))
+
+
+def delta_label(c: str | Column, digits: int = 1, suffix: str = "") -> Column:
+    """Signed change, '+3.2%'; NULL stays NULL."""
+    sign = F.when(_column(c) >= 0, "+").otherwise("")
+    return F.concat(sign, F.format_number(_column(c), digits), F.lit(suffix))
+
+
+def date_label(day: str | Column) -> Column:
+    """'15 Jan 2024'."""
+    return F.coalesce(F.date_format(_column(day), "dd MMM yyyy"), F.lit("N/A"))
+
+
+def month_label(ym: str | Column) -> Column:
+    """'Jan 2024' of a YYYYMM string."""
+    return F.coalesce(F.date_format(month_start(_column(ym)), "MMM yyyy"), F.lit("N/A"))
+
+
 def price_label(c: str | Column) -> Column:
     """'$1,234/MWh'."""
     return F.concat(F.lit("$"), F.format_number(_column(c), 0), F.lit("/MWh"))

@@ -29,28 +29,33 @@ def _moments(x: Column, name: str, window=None) -> list[Column]:
     return [v.alias(f"{name}_{f}") for v, f in zip(values, _FIELDS)]
 
 
-def _combine(df: DataFrame, parts: Sequence[str], name: str) -> DataFrame:
-    """Moments of the union of disjoint parts; a part without rows may be null.
+def _combine(df: DataFrame, unions: dict[str, Sequence[str]]) -> DataFrame:
+    """Moments of unions of disjoint parts, {name: parts}; a part without rows may be null.
 
     The mean comes first, deviations are taken from it: no cancellation of large squares.
     """
     zero = F.lit(0.0)
-    count = [F.coalesce(F.col(f"{p}_n"), F.lit(0)) for p in parts]
-    total = sum(count[1:], count[0])
-    weighted = [c * F.coalesce(F.col(f"{p}_mean"), zero) for c, p in zip(count, parts)]
-    df = df.withColumn(f"{name}_n", total)
-    df = df.withColumn(
-        f"{name}_mean",
-        sum(weighted[1:], weighted[0]) / F.nullif(F.col(f"{name}_n").cast("double"), zero),
-    )
-    spread = [
-        F.coalesce(F.col(f"{p}_m2"), zero)
-        + c * F.coalesce(F.pow(F.col(f"{p}_mean") - F.col(f"{name}_mean"), 2), zero)
-        for c, p in zip(count, parts)
-    ]
-    df = df.withColumn(f"{name}_m2", sum(spread[1:], spread[0]))
-    lows, highs = [F.col(f"{p}_lo") for p in parts], [F.col(f"{p}_hi") for p in parts]
-    return df.withColumns({f"{name}_lo": F.least(*lows), f"{name}_hi": F.greatest(*highs)})
+
+    def count(p):
+        return F.coalesce(F.col(f"{p}_n"), F.lit(0))
+
+    counts, means, rest = {}, {}, {}
+    for name, parts in unions.items():
+        total = sum((count(p) for p in parts[1:]), count(parts[0]))
+        weighted = [count(p) * F.coalesce(F.col(f"{p}_mean"), zero) for p in parts]
+        spread = [
+            F.coalesce(F.col(f"{p}_m2"), zero)
+            + count(p) * F.coalesce(F.pow(F.col(f"{p}_mean") - F.col(f"{name}_mean"), 2), zero)
+            for p in parts
+        ]
+        counts[f"{name}_n"] = total
+        means[f"{name}_mean"] = sum(weighted[1:], weighted[0]) / F.nullif(
+            F.col(f"{name}_n").cast("double"), zero
+        )
+        rest[f"{name}_m2"] = sum(spread[1:], spread[0])
+        rest[f"{name}_lo"] = F.least(*[F.col(f"{p}_lo") for p in parts])
+        rest[f"{name}_hi"] = F.greatest(*[F.col(f"{p}_hi") for p in parts])
+    return df.withColumns(counts).withColumns(means).withColumns(rest)
 
 
 def _mean(m: str) -> Column:
@@ -134,7 +139,7 @@ def trailing_days(
         *_moments(F.when(~F.col("_own"), x), "_tail", tail),
     ).filter("_own")
     joined = framed.join(whole, [*keys, "_day"], "left")
-    out = _combine(joined, ["_tail", "_whole", "_head"], "_m")
+    out = _combine(joined, {"_m": ["_tail", "_whole", "_head"]})
     return out.select(*df.columns, _mean("_m").alias(mean), _stddev("_m").alias(stddev))
 
 
@@ -200,8 +205,7 @@ def trailing_rows(
         *[m for c in sources for m in _moments(F.when(F.col("_own"), F.col(c)), f"_head_{c}", head)],
         *[m for c in sources for m in _moments(F.when(~F.col("_own"), F.col(c)), f"_tail_{c}", tail)],
     ).filter("_own")
-    for c in sources:
-        framed = _combine(framed, [f"_tail_{c}", f"_head_{c}"], f"_m_{c}")
+    framed = _combine(framed, {f"_m_{c}": [f"_tail_{c}", f"_head_{c}"] for c in sources})
     finish = {"avg": _mean, "stddev": _stddev}
     return framed.select(
         *df.columns,

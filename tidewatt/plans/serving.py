@@ -115,15 +115,24 @@ def month_totals(monthly: DataFrame) -> DataFrame:
     return monthly.groupBy("year_month").agg(F.sum("total_generation_gwh").alias("total_generation_gwh"))
 
 
+def against_last_year(series: DataFrame, value: str, prior: str, pct: str) -> DataFrame:
+    """A monthly series with its value a year before and the change; NULL where there is none.
+
+    A join on the shifted month, so gaps in the months do no harm.
+    """
+    before = series.select(shift_month("year_month", 12).alias("year_month"), F.col(value).alias(prior))
+    return series.join(before, "year_month", "left").withColumn(pct, change_pct(value, prior))
+
+
 def year_over_year(monthly: DataFrame) -> DataFrame:
-    """Month totals against the same month a year before; months without one stay with NULL."""
-    now = month_totals(monthly)
-    prior = now.select(
-        shift_month("year_month", 12).alias("year_month"),
-        F.col("total_generation_gwh").alias("prior_generation_gwh"),
-    )
-    joined = now.join(prior, "year_month", "left")
-    return joined.withColumn("yoy_pct", change_pct("total_generation_gwh", "prior_generation_gwh"))
+    """Month totals against the same month a year before."""
+    return against_last_year(month_totals(monthly), "total_generation_gwh", "prior_generation_gwh", "yoy_pct")
+
+
+def renewable_year_over_year(renewable: DataFrame) -> DataFrame:
+    """Change of the renewable share itself against a year before."""
+    series = renewable.select("year_month", "renewable_pct")
+    return against_last_year(series, "renewable_pct", "prior_renewable_pct", "yoy_pct")
 
 
 def latest_mix(monthly: DataFrame) -> DataFrame:

@@ -60,4 +60,5 @@ def spread_small(df: DataFrame) -> DataFrame:
     Large inputs have more splits than cores and pass through without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    # By hash of the first column: unlike round robin this needs no sort to be repeatable.
+    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df

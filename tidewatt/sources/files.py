@@ -101,9 +101,9 @@ def scan_nsp(spark, path) -> DataFrame:
 
 def scan_hydro(spark, path, **kw) -> DataFrame:
     """One file per lake; the site code is part of the file name."""
-    return scan_csv(
-        spark, path, schemas.HYDRO, schemas.FILE_NAMES["hydro"], "site_code", by_position=True, **kw
-    ).select("site_code", *schemas.HYDRO.values(), MTIME)
+    return scan_csv(spark, path, schemas.HYDRO, schemas.FILE_NAMES["hydro"], "site_code", **kw).select(
+        "site_code", *schemas.HYDRO.values(), MTIME
+    )
 
 
 def list_files(spark: SparkSession, path: str) -> DataFrame:
