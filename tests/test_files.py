@@ -37,14 +37,18 @@ def test_wrong_header_and_bad_rows_fail(spark, workdir):
     month.put(f"{workdir}/202401_ReconciledInjectionAndOfftake.csv", header, month.volumes()[:3])
     with pytest.raises(Exception, match="header"):
         files.scan_volume(spark, workdir).collect()
+    with pytest.raises(Exception, match="header"):
+        files.scan_volume(spark, workdir).count()
 
 
 def test_bad_row_modes(spark, workdir):
     path = f"{workdir}/202401_FinalEnergyPrices.csv"
     month.put(path, schemas.PRICE, [["2024-01-01", 1, "A", "1"], ["2024-01-01", 2, "A", "2", "extra"]])
-    with pytest.raises(Exception):
-        files.scan_price(spark, workdir).collect()
-    assert files.scan_price(spark, workdir, on_bad_row="skip").select("trading_period").collect()[0][0] == "1"
+    for use in (lambda d: d.collect(), lambda d: d.count(), lambda d: d.select("trading_date").collect()):
+        with pytest.raises(Exception):
+            use(files.scan_price(spark, workdir))
+    skipped = files.scan_price(spark, workdir, on_bad_row="skip")
+    assert [r.trading_period for r in skipped.select("trading_period").collect()] == ["1"] and skipped.count() == 1
     kept = files.scan_price(spark, workdir, on_bad_row="keep").collect()
     assert sum(r._bad_row is not None for r in kept) == 1
 

@@ -305,7 +305,8 @@ def check_files(spark: SparkSession, path: str, contract: Contract, file_name: s
     schema = schemas.text_schema(names).add(BAD_ROW, "string")
     raw = (
         spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_ROW).option("recursiveFileLookup", True).csv(path)
+        .option("columnNameOfCorruptRecord", BAD_ROW).option("columnPruning", False)
+        .option("recursiveFileLookup", True).csv(path)
         .select("*", "_metadata.file_name", "_metadata.file_size")
     )
     period = F.regexp_extract("file_name", file_name, 1)

@@ -45,6 +45,9 @@ def scan_csv(
         .option("enforceSchema", by_position)
         .option("mode", mode)
         .option("columnNameOfCorruptRecord", BAD_ROW)
+        # With pruning the parser sees only the selected columns and lets bad rows pass,
+        # so what counts as a bad row would depend on the query.
+        .option("columnPruning", False)
         .option("recursiveFileLookup", True)
         .csv(paths)
     )
