@@ -90,10 +90,12 @@ def refresh(
     target = read_or_empty(spark, path, with_period(build(source), spec).schema)
     column = spec.source_column or spec.column
     if spec.monthly:
-        start = month_lookback_start(target, spec.column)
+        start = month_lookback_start(target, PERIOD)
         first_period = start
     else:
-        start = lookback_start(target, spec.column, lookback_days)
+        # The newest folder is known without reading data; only its rows are looked at.
+        newest = target.agg(F.max(PERIOD)).first()[0]
+        start = lookback_start(target.filter(F.col(PERIOD) == newest), spec.column, lookback_days)
         first_period = start.strftime("%Y%m")
     batch = with_period(build(source.filter(F.col(column) >= F.lit(start))), spec)
     if exact:
