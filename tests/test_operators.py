@@ -100,6 +100,24 @@ def test_running_sum_and_ranks(spark):
     assert compare(got, want).count() == 0
 
 
+def test_rows_with_null_keys_or_dates_are_kept(spark):
+    from tidewatt.plans import core
+
+    cols = ["dbt_version", "node_type", "node_name", "status", "execution_time_seconds", "failures", "message",
+            "relation_name", "adapter_message"]
+    rows = [("i1", "2024-01-01 00:00:00", "a"), ("i2", "2024-01-02 00:00:00", "a"), ("i3", None, "a"),
+            ("i4", "2024-01-01 00:00:00", None)]
+    runs = spark.createDataFrame(rows, "invocation_id string, generated_at string, node_unique_id string").select(
+        "invocation_id", F.col("generated_at").cast("timestamp_ntz").alias("generated_at"), "node_unique_id",
+        *[F.lit(None).cast("string").alias(c) for c in cols])
+    ranks = {r.invocation_id: r.invocation_rank_desc for r in core.fct_run(runs).collect()}
+    assert ranks == {"i1": 2, "i2": 1, "i3": 3, "i4": 1}
+    prices = spark.createDataFrame([(None, date(2024, 1, 1), 1, 5.0), ("a", date(2024, 1, 1), 1, 5.0)],
+                                   "poc string, day date, tp int, price double")
+    assert trailing_rows(prices, ["poc"], "day", ["tp"], {"m": ("price", "avg")}).count() == 2
+    assert trailing_days(prices, ["poc"], cal.period_second("day", "tp"), "price", "m", "s").count() == 2
+
+
 def test_median(spark):
     rng = random.Random(4)
     rows = [("hot", round(rng.expovariate(1), 3)) for _ in range(5001)] + [("hot", 0.5)] * 999

@@ -116,6 +116,6 @@ def share_of_total(df: DataFrame, group: Sequence[str], value: str, out: str) ->
     """Percentage of the group total per row; the total is aggregated, not windowed."""
     group = list(group)
     totals = df.groupBy(*group).agg(F.sum(value).cast("double").alias("_total"))
-    joined = df.join(totals, group)
+    joined = df.join(totals, group, "left")
     pct = F.when(F.col("_total") != 0, F.col(value).cast("double") / F.col("_total") * 100.0)
     return joined.select(*df.columns, pct.alias(out))

@@ -26,6 +26,10 @@ def _carry(df, keys, measure: Column, descending: bool) -> DataFrame:
     )
 
 
+def _before() -> Column:
+    return F.coalesce("_carry", F.lit(0))
+
+
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -37,7 +41,8 @@ def running_sum(
 ) -> DataFrame:
     """SUM(value) from the first row of the group up to each row, in a total `order`.
 
-    Keys and band must not be null; band must rise (or fall, if descending) with the order.
+    Band must rise (or fall, if descending) with the order. Keys and band should not be null:
+    rows where they are stay in the result but count from their own band only.
     """
     keys = list(keys)
     banded = df.withColumn("_band", band)
@@ -46,16 +51,16 @@ def running_sum(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     local = banded.withColumn("_local", F.sum(value).over(inside))
-    joined = local.join(_carry(banded, keys, F.sum(value), descending), [*keys, "_band"])
-    return joined.select(*df.columns, (F.col("_local") + F.col("_carry")).alias(out))
+    joined = local.join(_carry(banded, keys, F.sum(value), descending), [*keys, "_band"], "left")
+    return joined.select(*df.columns, (F.col("_local") + _before()).alias(out))
 
 
 def _ranked(df, keys, order, band, out, fn, descending):
     keys = list(keys)
     banded = df.withColumn("_band", band)
     local = banded.withColumn("_local", fn().over(Window.partitionBy(*keys, "_band").orderBy(*order)))
-    joined = local.join(_carry(banded, keys, F.count(F.lit(1)), descending), [*keys, "_band"])
-    return joined.select(*df.columns, (F.col("_local") + F.col("_carry")).cast("long").alias(out))
+    joined = local.join(_carry(banded, keys, F.count(F.lit(1)), descending), [*keys, "_band"], "left")
+    return joined.select(*df.columns, (F.col("_local") + _before()).cast("long").alias(out))
 
 
 def position(df, keys, order, band, out, descending=False) -> DataFrame:

@@ -173,8 +173,8 @@ def trailing_rows(
     )
     rows = (
         df.withColumn("_r", F.row_number().over(in_slice))
-        .join(start, [*keys, slice_by])
-        .withColumn("_pos", F.col("_start") + F.col("_r") - 1)
+        .join(start, [*keys, slice_by], "left")
+        .withColumn("_pos", F.coalesce("_start", F.lit(0)) + F.col("_r") - 1)
         .drop("_r", "_start")
     )
 

@@ -163,6 +163,6 @@ def fct_run(stg_run: DataFrame) -> DataFrame:
         F.col("status").isin("pass", "success").alias("is_success"),
     )
     order = [newest("generated_at"), F.col("invocation_id").asc_nulls_last()]
-    return prefix.position(
-        base, ["node_unique_id"], order, F.col("generated_date"), "invocation_rank_desc", descending=True
-    )
+    # An undated run sorts last, so it gets the earliest band.
+    band = F.coalesce("generated_date", F.lit("0001-01-01").cast("date"))
+    return prefix.position(base, ["node_unique_id"], order, band, "invocation_rank_desc", descending=True)
