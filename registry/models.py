@@ -250,6 +250,9 @@ def date_spine(spark, sf):
     return look_up(spine, per_day, "day", ["orders"]).fillna(0, ["orders"])
 
 
+HOLIDAYS = ", ".join(f"DATE '{line[:10]}'" for line in seeds.PUBLIC_HOLIDAYS.split("\n") if line)
+
+
 @query(
     "calendar_dimension",
     f"""SELECT trading_date, n AS orders, {DATE_KEY.format('trading_date')} AS date_key,
@@ -257,16 +260,14 @@ def date_spine(spark, sf):
          CAST(month(trading_date) AS INTEGER) AS month, CAST(day(trading_date) AS INTEGER) AS day,
          CAST(isodow(trading_date) AS INTEGER) AS day_of_week_iso, isodow(trading_date) IN (6, 7) AS is_weekend,
          {SEASON.format('trading_date')} AS season, {SEASON_YEAR.format('trading_date')} AS season_year,
-         trading_date IN (DATE '2018-01-01', DATE '2018-01-02', DATE '2018-02-06', DATE '2018-03-30', DATE '2018-04-02',
-           DATE '2018-04-25', DATE '2018-06-04', DATE '2018-10-22', DATE '2018-12-25', DATE '2018-12-26') AS is_nz_holiday
-       FROM (SELECT CAST(o_orderdate AS DATE) + 7305 AS trading_date, count(*) AS n FROM orders
-             WHERE year(CAST(o_orderdate AS DATE) + 7305) = 2018 GROUP BY 1)""",
+         trading_date IN ({HOLIDAYS}) AS is_nz_holiday
+       FROM (SELECT CAST(o_orderdate AS DATE) + 9131 AS trading_date, count(*) AS n FROM orders GROUP BY 1)""",
 )
 def calendar_dimension(spark, sf):
-    """Order days moved twenty years on, into the range of the holiday list."""
-    days = table(spark, sf, "orders").groupBy(F.date_add(F.col("o_orderdate").cast("date"), 7305).alias("d")).agg(
+    """Order days moved twenty-five years on, into the range of the holiday list."""
+    days = table(spark, sf, "orders").groupBy(F.date_add(F.col("o_orderdate").cast("date"), 9131).alias("d")).agg(
         F.count(F.lit(1)).alias("orders")
-    ).filter(F.year("d") == 2018)
+    )
     dim = core.calendar(days, seeds.public_holidays(spark), "d").drop("holiday_name")
     return look_up(dim, days.withColumnRenamed("d", "trading_date"), "trading_date", ["orders"])
 
