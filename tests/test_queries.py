@@ -14,7 +14,7 @@ import __spark_entry__ as contract  # noqa: E402
 from tests import oracle  # noqa: E402
 
 SF_DIR = os.environ.get("TIDEWATT_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = contract.base.QUERIES, contract.base.SQL
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
 
 
