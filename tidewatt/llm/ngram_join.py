@@ -409,3 +409,10 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     # A set with thousands of copies is one row on the right; the skewed side is split.
     known = ids.join(placed.hint("merge"), ["n", "low", "high"], "left")
     return known.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def one_per_group(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
+    """The document with the smallest id of each linked group, and every document that is linked with none."""
+    groups = link_documents(docs, k, percent)
+    copies = stored(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy")), "copies")
+    return docs.join(small(copies), F.col("doc_id") == F.col("_copy"), "left_anti")

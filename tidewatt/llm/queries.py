@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.llm import decontaminate, ngram_join, packing, quality
-from tidewatt.llm.shared import prepare
+from tidewatt.llm import decontaminate, line_dedup, ngram_join, packing, quality
+from tidewatt.llm.shared import prepare, small, stored
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -38,6 +38,22 @@ def op3_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_line_dedup(spark, sf_dir):
+    """Per document: its lines that go, and the length and CRC-32 of the text that stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    gone = line_dedup.repeated(docs)
+    lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
+    size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
+    rows = docs.join(small(stored(gone, "repeated")), "doc_id", "left")
+    drop = F.coalesce(F.concat("exact", "near"), F.array().cast("array<bigint>"))
+    kept = F.concat_ws("\n", F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("drop"), i.cast("long"))))
+    rows = rows.withColumns({"n_lines": lines, "n_exact": size("exact"), "n_near": size("near"), "drop": drop})
+    rows = rows.withColumn("kept", F.when(F.size("drop") == 0, F.col("text")).otherwise(kept))
+    return rows.select("doc_id", "n_lines", "n_exact", "n_near", F.length("kept").cast("long").alias("kept_chars"),
+                       F.crc32(F.encode("kept", "UTF-8")).alias("kept_crc32"))
+
+
 @query
 def op10_benchmark_decontamination(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
