@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.llm import decontaminate, line_dedup, ngram_join, packing, quality
+from tidewatt.llm import decontaminate, language_id, line_dedup, ngram_join, packing, quality
 from tidewatt.llm.shared import prepare, small, stored
 
 QUERIES: dict = {}
@@ -57,3 +57,11 @@ def op4_line_dedup(spark, sf_dir):
 @query
 def op10_benchmark_decontamination(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.train(docs.filter(~language_id.held_out()))
+    found = language_id.identify(docs, model)
+    return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
