@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.llm import decontaminate, language_id, line_dedup, ngram_join, packing, quality
+from tidewatt.llm import decontaminate, language_id, line_dedup, ngram_join, packing, pseudonyms, quality
 from tidewatt.llm.shared import prepare, small, stored
 
 QUERIES: dict = {}
@@ -54,6 +54,13 @@ def op4_line_dedup(spark, sf_dir):
                        F.crc32(F.encode("kept", "UTF-8")).alias("kept_crc32"))
 
 
+@query
+def op7_pii_pseudonyms(spark, sf_dir):
+    """Every document with pseudonyms in its text; the key is a parameter of the operator, this one is for tests."""
+    rows = pseudonyms.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), b"registered query")
+    return rows.select("doc_id", "text", *[F.col(f"_replaced.{k}").alias(f"n_{k}") for k in pseudonyms.NAMES])
+
+
 @query
 def op10_benchmark_decontamination(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
