@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.llm import decontaminate, language_id, line_dedup, ngram_join, packing, pseudonyms, quality
+from tidewatt.llm import decontaminate, language_id, line_dedup, ngram_join, packing, pseudonyms, quality, training_order
 from tidewatt.llm.shared import prepare, small, stored
 
 QUERIES: dict = {}
@@ -54,6 +54,13 @@ def op4_line_dedup(spark, sf_dir):
                        F.crc32(F.encode("kept", "UTF-8")).alias("kept_crc32"))
 
 
+@query
+def op6_training_order(spark, sf_dir):
+    """Place and digest of every sequence, from the shards as written."""
+    docs = table(spark, sf_dir, "documents")
+    return training_order.digest(training_order.materialize(docs, training_order.scratch(spark), key=20240501))
+
+
 @query
 def op7_pii_pseudonyms(spark, sf_dir):
     """Every document with pseudonyms in its text; the key is a parameter of the operator, this one is for tests."""
