@@ -25,7 +25,7 @@ from tidewatt.llm.words import Sums, binaries, mix, slices
 
 EDITS = 2
 FUZZY_LEAST = 30
-GATHER = 1 << 21
+GATHER = 1 << 20
 # Pairs compared at a time by letter counts.
 STRIP = 1 << 20
 _U = np.uint64

@@ -31,7 +31,7 @@ from tidewatt.llm.words import binaries, mix, shingles, slices, words
 HEAVY_DF = 8
 HEAVY_KEYS = 1 << 20
 # Hashes that a task gathers before it sends them to the buckets.
-GATHER = 1 << 21
+GATHER = 1 << 20
 # Star steps are repeated, at most so often, while more pairs are open than so many per entry of the lists.
 STAR_ROUNDS = 2
 CROSSINGS_PER_ENTRY = 8

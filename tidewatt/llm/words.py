@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 19
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
 _BASE_INVERSE = _U(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -35,7 +35,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(33))
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=4)
 def _powers(n: int, inverse: bool) -> np.ndarray:
     out = np.full(n + 1, _BASE_INVERSE if inverse else _BASE, dtype=_U)
     out[0] = 1
