@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.llm import decontaminate, language_id, line_dedup, ngram_join, packing, pseudonyms, quality, training_order
+from tidewatt.llm import decontaminate, language_id, licenses, line_dedup, ngram_join, packing, pseudonyms, quality, training_order, url_filter
 from tidewatt.llm.shared import prepare, small, stored
 
 QUERIES: dict = {}
@@ -79,3 +79,18 @@ def op8_language_id(spark, sf_dir):
     model = language_id.train(docs.filter(~language_id.held_out()))
     found = language_id.identify(docs, model)
     return found.select("doc_id", language_id.held_out().alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op5_license_scan(spark, sf_dir):
+    """Documents as files of a tree source/language/hundreds; every sixteenth is its directory's licence file."""
+    name = F.when(F.col("doc_id") % 16 == 0, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
+    folder = F.concat_ws("/", F.coalesce("source", F.lit("none")), F.coalesce("lang", F.lit("none")),
+                         F.expr("doc_id div 10000"), F.expr("doc_id div 100"))
+    files = table(spark, sf_dir, "documents").select("doc_id", F.concat_ws("/", folder, name).alias("path"), "text")
+    return licenses.scan(files)
+
+
+@query
+def op9_url_filter(spark, sf_dir):
+    return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
