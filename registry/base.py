@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tidewatt.session import configure, spread_small
+from tidewatt.session import configure
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -44,13 +44,9 @@ def sql4(expr: str, name: str | None = None) -> str:
 _FRAMES: dict = {}
 
 
-def table(spark, sf_dir: str, name: str, spread: bool = False):
-    """A given table; its listing and schema are read once per session.
-
-    spread re-splits a scan of fewer splits than cores, for queries that do much per row.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir, name, spread)
+def table(spark, sf_dir: str, name: str):
+    """A given table; its listing and schema are read once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     if key not in _FRAMES:
-        df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-        _FRAMES[key] = spread_small(df) if spread else df
+        _FRAMES[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     return _FRAMES[key]

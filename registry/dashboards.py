@@ -133,10 +133,10 @@ def overview(spark, sf):
     "share_of_total",
     with_("monthly", f"""SELECT year_month, fuel_type, total_generation_kwh,
           {sql4('100*total_generation_gwh/sum(total_generation_gwh) OVER (PARTITION BY year_month)', 'share_pct')}
-          FROM monthly WHERE year_month BETWEEN '199601' AND '200012'"""),
+          FROM monthly"""),
 )
 def fuel_share(spark, sf):
-    view = serving.fuel_share(monthly(spark, sf), "200012", "199601")  # reversed: the slice swaps it
+    view = serving.fuel_share(monthly(spark, sf), "999912", "000001")  # reversed: the slice swaps it
     return rounded(view, "share_pct").select("year_month", "fuel_type", "total_generation_kwh", "share_pct")
 
 
@@ -175,10 +175,10 @@ def renewable_annual(spark, sf):
     "season_totals",
     with_("seasonal", f"""SELECT season, fuel_type, {sql4('sum(total_generation_gwh)', 'total_generation_gwh')},
           CAST(CASE season WHEN 'Summer' THEN 1 WHEN 'Autumn' THEN 2 WHEN 'Winter' THEN 3 ELSE 4 END AS BIGINT)
-            AS season_order FROM seasonal WHERE season_year BETWEEN 1996 AND 2000 GROUP BY season, fuel_type"""),
+            AS season_order FROM seasonal GROUP BY season, fuel_type"""),
 )
 def season_totals(spark, sf):
-    return rounded(serving.season_totals(seasonal(spark, sf), 1996, 2000), "total_generation_gwh")
+    return rounded(serving.season_totals(seasonal(spark, sf), 0, 9999), "total_generation_gwh")
 
 
 @query(
@@ -231,14 +231,14 @@ def price_view(spark, sf):
 
 @query(
     "price_kpis",
-    with_("price_daily", VIEW + f""" SELECT count(*) AS node_days, {sql4('avg(avg_price_all)', 'avg_price')},
+    with_("price_daily", f"""SELECT count(*) AS node_days, {sql4('avg(avg_price_all)', 'avg_price')},
           max(max_price) AS peak_price, CAST(sum(spike_tp_count) AS BIGINT) AS spike_periods,
           {sql4('sum(spike_tp_count)::DOUBLE/sum(tp_count)::DOUBLE', 'spike_rate')},
           CAST(sum(negative_tp_count) AS BIGINT) AS negative_periods,
-          {sql4('sum(negative_tp_count)::DOUBLE/sum(tp_count)::DOUBLE', 'negative_rate')} FROM v"""),
+          {sql4('sum(negative_tp_count)::DOUBLE/sum(tp_count)::DOUBLE', 'negative_rate')} FROM price_daily"""),
 )
 def price_kpis(spark, sf):
-    return rounded(serving.price_kpis(price_view(spark, sf)), "avg_price", "spike_rate", "negative_rate")
+    return rounded(serving.price_kpis(price_daily(spark, sf)), "avg_price", "spike_rate", "negative_rate")
 
 
 @query(
@@ -252,11 +252,20 @@ def price_by_island(spark, sf):
 
 @query(
     "daily_outlier_counts",
-    with_("price_daily", VIEW + """ SELECT trading_date, CAST(sum(spike_tp_count) AS BIGINT) AS spike_tp_count,
-          CAST(sum(negative_tp_count) AS BIGINT) AS negative_tp_count FROM v GROUP BY trading_date"""),
+    with_("price_daily", """SELECT trading_date, CAST(sum(spike_tp_count) AS BIGINT) AS spike_tp_count,
+          CAST(sum(negative_tp_count) AS BIGINT) AS negative_tp_count FROM price_daily GROUP BY trading_date"""),
 )
 def daily_outlier_counts(spark, sf):
-    return serving.daily_outlier_counts(price_view(spark, sf))
+    return serving.daily_outlier_counts(price_daily(spark, sf))
+
+
+@query(
+    "price_slice",
+    with_("price_daily", VIEW + """ SELECT trading_date, poc_code, island, tp_count, max_price FROM v"""),
+)
+def price_slice(spark, sf):
+    """The page's filter: some islands and days."""
+    return price_view(spark, sf).select("trading_date", "poc_code", "island", "tp_count", "max_price")
 
 
 def bins(value, n):
@@ -495,9 +504,12 @@ def context_window(spark, sf):
 
 @query(
     "event_windows",
-    with_("context node", CONTEXT + """ SELECT e.poc_code, e.trading_date, e.tp_number AS event_tp, c.tp_number,
-          c.price_nzd_mwh, c.offtake_mw FROM sc e JOIN context c ON c.poc_code = e.poc_code
-          AND c.trading_date = e.trading_date AND c.tp_number BETWEEN e.tp_number - 6 AND e.tp_number + 6"""),
+    with_("context node", """, cx AS MATERIALIZED (SELECT poc_code, trading_date, tp_number, price_nzd_mwh, offtake_mw FROM context),
+          around AS MATERIALIZED (SELECT poc_code, trading_date, tp_number AS event_tp,
+            unnest(range(greatest(tp_number - 6, 1), least(tp_number + 6, 50) + 1)) AS tp_number
+            FROM cx WHERE price_nzd_mwh > 300)
+          SELECT a.poc_code, a.trading_date, a.event_tp, c.tp_number, c.price_nzd_mwh, c.offtake_mw FROM around a
+          JOIN cx c ON c.poc_code = a.poc_code AND c.trading_date = a.trading_date AND c.tp_number = a.tp_number"""),
 )
 def event_windows(spark, sf):
     context = s.price_context(spark, sf)
@@ -565,10 +577,10 @@ def slo_status(spark, sf):
     with_("runs", f"""SELECT generated_date AS date, node_type, count(*) AS n,
           CAST(sum(CASE WHEN is_success THEN 1 ELSE 0 END) AS BIGINT) AS success,
           {sql4('avg(CASE WHEN is_success THEN 1.0::DOUBLE ELSE 0 END)', 'success_rate')}
-          FROM runs WHERE generated_at >= TIMESTAMP '2024-01-21' GROUP BY ALL"""),
+          FROM runs GROUP BY ALL"""),
 )
 def success_rate(spark, sf):
-    return rounded(serving.daily_success(s.fct_run(spark, sf), NOW, 10), "success_rate")
+    return rounded(serving.daily_success(s.fct_run(spark, sf), NOW, 36500), "success_rate")
 
 
 @query(

@@ -54,6 +54,39 @@ def csv_inferred(spark, sf):
     return _with_number(files.scan_inferred(spark, _price_file(spark, sf, "inferred"), schemas.PRICE))
 
 
+@query("csv_inferred_headers", with_("raw_price", RAW_PRICE))
+def csv_inferred_headers(spark, sf):
+    """Two sets of files with their columns in other orders."""
+    path = scratch_path(spark, "headers")
+    named = [F.col(target).alias(source) for source, target in schemas.PRICE.items()]
+    rows = s.raw_price(spark, sf).withColumn("odd", F.crc32("trading_date") % 2)
+    for odd, columns in ((0, named), (1, named[::-1])):
+        rows.filter(F.col("odd") == odd).select(*columns).write.mode("append").option("header", True).csv(path)
+    return _with_number(files.scan_inferred(spark, path, schemas.PRICE))
+
+
+@query(
+    "csv_quoted",
+    """SELECT o_orderkey, 'he said "' || o_orderstatus || '", then' AS said, how
+       FROM orders, (VALUES ('declared'), ('inferred'), ('exported')) AS h(how)""",
+)
+def csv_quoted(spark, sf):
+    """Quotes and commas inside fields, through each reader and the export."""
+    said = F.concat(F.lit('he said "'), "o_orderstatus", F.lit('", then')).alias("said")
+    rows = table(spark, sf, "orders").select("o_orderkey", said)
+    path, export = scratch_path(spark, "quoted"), scratch_path(spark, "export")
+    rows.write.options(header=True, escape='"').csv(path)
+    sinks.export_csv(rows, export)
+    columns = {"o_orderkey": "o_orderkey", "said": "said"}
+    found = {
+        "declared": files.scan_csv(spark, path, columns, on_bad_row="skip"),
+        "inferred": files.scan_inferred(spark, path),
+        "exported": files.scan_csv(spark, export, columns),
+    }
+    parts = [df.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "said", F.lit(how).alias("how")) for how, df in found.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 @query(
     "csv_null_tokens",
     """SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' THEN NULL ELSE o_orderstatus END AS status FROM orders""",
@@ -111,11 +144,11 @@ def latest_release(spark, sf):
         F.col("o_orderstatus").alias("period"), "o_orderkey", F.col("o_orderstatus").alias("status"),
         (F.col("o_orderkey") % 2).alias("version"),
     )
-    o.repartition("period", "version").write.partitionBy("period", "version").option("header", True).csv(base)
+    o.hint("rebalance", "period", "version").write.partitionBy("period", "version").option("header", True).csv(base)
     found = files.list_files(spark, base).withColumn("name", F.regexp_extract("path", r"(period=\w+/version=\d+)", 1))
-    newest = files.latest_file_per_period(found, r"^period=(\w+)/")
-    chosen = [f"{r.path.rsplit('/', 1)[0]}" for r in newest.select("path").collect()]
-    rows = files.scan_csv(spark, chosen, {"o_orderkey": "o_orderkey", "status": "status"})
+    found = found.withColumn("path", F.regexp_replace("path", "/[^/]*$", "")).distinct()
+    columns = {"o_orderkey": "o_orderkey", "status": "status"}
+    rows = files.scan_latest(spark, found, r"^period=(\w+)/", files.scan_csv, columns=columns)
     return rows.groupBy("status").agg(F.count(F.lit(1)).alias("row_count"))
 
 
@@ -127,7 +160,8 @@ def json_extract(spark, sf):
 @query(
     "run_results_json",
     """SELECT 'inv-' || event_id AS invocation_id, kind || '.p.' || event_type AS node_unique_id, kind AS node_type,
-         event_type AS node_name, 'pass' AS status, value AS execution_time_seconds, props AS message,
+         event_type AS node_name, 'pass' AS status, value AS execution_time_seconds, repeat(props, 60) || '.' || event_type AS message,
+         left(repeat(props, 60) || '.' || event_type, 500) AS short_message,
          CASE WHEN kind = 'test' THEN CAST(user_id AS VARCHAR) ELSE '' END AS failures
        FROM events, (VALUES ('model'), ('test')) AS k(kind)""",
 )
@@ -141,18 +175,21 @@ def run_results_json(spark, sf):
             F.lit("pass").alias("status"),
             F.col("value").alias("execution_time"),
             failures.alias("failures"),
-            F.rpad("props", 600, " ").alias("message"),
+            F.concat(F.repeat("props", 60), F.lit("."), "event_type").alias("message"),
         )
 
     doc = F.to_json(F.struct(
         F.struct(F.concat(F.lit("inv-"), F.col("event_id").cast("string")).alias("invocation_id")).alias("metadata"),
         F.array(result("model", F.lit(None).cast("long")), result("test", F.col("user_id"))).alias("results"),
     ))
-    parsed = runs.parse_run_results(e.select(doc.alias("doc")), "doc")
+    docs = e.select(doc.alias("doc"))
+    cut = runs.parse_run_results(docs, "doc", 500).select(
+        "invocation_id", "node_unique_id", F.col("message").alias("short_message"))
+    parsed = runs.parse_run_results(docs, "doc").join(cut, ["invocation_id", "node_unique_id"])
     return parsed.select(
         "invocation_id", "node_unique_id", "node_type", "node_name", "status",
         F.col("execution_time_seconds").cast("double").alias("execution_time_seconds"),
-        F.rtrim("message").alias("message"), "failures",
+        "message", "short_message", "failures",
     )
 
 
@@ -220,7 +257,8 @@ def incremental_price(spark, sf):
     prices = staging.stg_price(s.raw_price(spark, sf))
     first = prices.filter("trading_date <= '2024-01-20'")
     for source in (first, prices, prices):
-        incremental.refresh(spark, path, "fct_price", source, core.fct_price)
+        incremental.refresh(spark, path, "fct_price", incremental.with_period(
+            source, incremental.TABLES["fct_price"]), lambda s, _: core.fct_price(s))
     return incremental.load(spark, path, core.fct_price(prices)).drop(MTIME)
 
 
@@ -251,8 +289,8 @@ def load_report(spark, sf):
 
 @query(
     "anti_join",
-    "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders)",
+    "SELECT c_custkey, c_name FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)",
 )
 def anti_join(spark, sf):
-    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    buyers = table(spark, sf, "orders").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
     return missing_from(table(spark, sf, "customer").select("c_custkey", "c_name"), buyers, ["c_custkey"])

@@ -151,15 +151,16 @@ def stg_run(spark, sf):
 @query(
     "try_cast_rounding",
     """SELECT o_orderkey, CAST(round(o_totalprice/4) AS INTEGER) AS rounded,
-         CAST(NULL AS INTEGER) AS blank, CAST(NULL AS INTEGER) AS word FROM orders""",
+         CAST(NULLIF(CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE CAST(o_orderkey AS VARCHAR) END, '') AS INTEGER) AS blank,
+         CAST(left(o_orderpriority, 1) AS INTEGER) AS word FROM orders""",
 )
 def try_cast_rounding(spark, sf):
     o = table(spark, sf, "orders")
     return o.select(
         "o_orderkey",
         lenient_int(F.col("o_totalprice").cast("decimal(18,2)").cast("double").__truediv__(4).cast("string")).alias("rounded"),
-        lenient_int(F.substring("o_orderpriority", 1, 0)).alias("blank"),
-        lenient_int("o_orderpriority").alias("word"),
+        lenient_int(F.when(F.col("o_orderkey") % 2 == 0, "").otherwise(F.col("o_orderkey").cast("string"))).alias("blank"),
+        lenient_int(F.coalesce(F.regexp_extract("o_orderpriority", "^([0-9])", 1), "o_orderpriority")).alias("word"),
     )
 
 

@@ -136,7 +136,7 @@ def test_correction_below_threshold(spark, base, tmp_path):
         spark.createDataFrame([], schemas.RAW_TABLES["raw_generation"]),
         spark.createDataFrame([("x", "x", False)], "raw_fuel_code string, fuel_type string, is_renewable boolean"),
     ))
-    build_spikes = lambda s: marts.mart_price_spike_events(s, empty, node)
+    build_spikes = lambda s, _=None: marts.mart_price_spike_events(s, empty, node)
     fact = core.fct_price(prices)
     fixed = fact.withColumn("price_nzd_mwh", F.least("price_nzd_mwh", F.lit(100.0)))
     path = str(tmp_path / "spikes")
@@ -175,9 +175,11 @@ def test_telemetry(spark, tmp_path):
 
     raw = ingest_run_results(spark, str(tmp_path / "run_results.json"))
     assert {t for _, t in raw.dtypes} == {"string"}
+    cut = ingest_run_results(spark, str(tmp_path / "run_results.json"), 500)
+    assert {len(r.message) for r in cut.collect()} == {500, 0}
     runs = core.fct_run(staging.stg_run(raw))
     a, b = runs.orderBy("node_unique_id").collect()
-    assert (a.node_type, a.node_name, len(a.message), a.execution_time_seconds, a.is_success) == ("model", "a", 500, 1.5, True)
+    assert (a.node_type, a.node_name, len(a.message), a.execution_time_seconds, a.is_success) == ("model", "a", 600, 1.5, True)
     assert (b.node_name, b.failures, b.message, b.adapter_message, b.invocation_rank_desc) == ("c1", 3, None, None, 1)
     slo = serving.slo_status(runs, datetime(2024, 2, 1)).first()
     assert (slo.freshness_days, slo.freshness_status, slo.model_status, slo.test_status) == (1, "On target", "On target", "Needs attention")

@@ -55,6 +55,52 @@ def test_partition_pruning_of_a_refresh(spark, workdir):
     assert "PartitionFilters: [m" in text
 
 
+def test_a_refresh_opens_its_months_only(spark, workdir, monkeypatch):
+    """The filter on the period folder reaches the scan of the source and of a fact joined to it."""
+    from tidewatt.sources import sinks
+    from tidewatt.streaming import incremental
+
+    o = spark.read.parquet(f"{SF_DIR}/orders.parquet").select(
+        F.col("o_orderkey").cast("string").alias("poc_code"), F.col("o_orderdate").cast("date").alias("trading_date"),
+        F.lit(1).alias("tp_number"))
+    o = incremental.with_period(o, incremental.TABLES["fct_price"])
+    sinks.replace_all(o, f"{workdir}/source", [incremental.PERIOD])
+    saved = spark.read.schema(o.schema).parquet(f"{workdir}/source")
+    build = lambda s, within: s.join(within(saved).select("poc_code"), "poc_code")
+    incremental.refresh(spark, f"{workdir}/t", "fct_price", saved, build)
+    seen = []
+    monkeypatch.setattr(sinks, "upsert", lambda spark, path, batch, *a: seen.append(plan(batch)))
+    incremental.refresh(spark, f"{workdir}/t", "fct_price", saved, build)
+    scans = [x for x in seen[0].splitlines() if "FileScan" in x]
+    assert len(scans) == 2 and all("PartitionFilters: [isnotnull(period_month" in x for x in scans)
+
+
+def test_no_local_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidewatt.session import shared_dir
+
+    context = SimpleNamespace(master="local-cluster[2,1,1024]", getCheckpointDir=lambda: None)
+    remote = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_dir(remote)
+
+
+def test_event_windows_match_single_windows(spark):
+    from tidewatt.plans import serving
+    from registry import stand_ins
+
+    context = stand_ins.price_context(spark, SF_DIR)
+    events = serving.spike_context(context, stand_ins.dim_node(spark, SF_DIR)).limit(3).collect()
+    assert events
+    for e in events:
+        one = [tuple(r) for r in serving.context_window(context, e.poc_code, e.trading_date, e.tp_number - 6, e.tp_number + 6)
+               .select("tp_number", "price_nzd_mwh").collect()]
+        same = spark.createDataFrame([(e.poc_code, e.trading_date, e.tp_number)], "poc_code string, trading_date date, tp_number int")
+        many = serving.event_windows(context, same).orderBy("tp_number").select("tp_number", "price_nzd_mwh").collect()
+        assert [tuple(r) for r in many] == one
+
+
 def test_windows_are_split_below_the_series(spark):
     """No window of row level groups by the series key alone: a busy series spreads over tasks."""
     l = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")

@@ -33,24 +33,30 @@ def build_all(
     empty = {n: spark.createDataFrame([], schema) for n, schema in RAW_TABLES.items() if n not in raw}
     raw = {**raw, **empty}
     tables: dict[str, DataFrame] = {}
+    dated: dict[str, DataFrame] = {}  # saved facts with their period column, for pruned refreshes
+    everything = incremental.months_from(None)
 
     def save(name: str, df: DataFrame) -> DataFrame:
         path = f"{base}/{name}"
         if "trading_date" in df.columns and not name.startswith("dim_"):
-            sinks.replace_all(df.withColumn(incremental.PERIOD, yyyymm("trading_date")), path, [incremental.PERIOD])
+            df = df.withColumn(incremental.PERIOD, yyyymm("trading_date"))
+            sinks.replace_all(df, path, [incremental.PERIOD])
         else:
             sinks.replace_all(df, path)
-        tables[name] = spark.read.schema(df.schema).parquet(path).select(*df.columns)
+        dated[name] = spark.read.schema(df.schema).parquet(path)
+        tables[name] = everything(dated[name].select(*df.columns))
         return tables[name]
 
     def refresh(name: str, source: DataFrame, build) -> DataFrame:
+        """build(source, within): see incremental.refresh."""
         path = f"{base}/{name}"
         if incremental_run:
             incremental.refresh(spark, path, name, source, build, p.lookback_days, exact)
         else:
             spec = incremental.TABLES[name]
-            sinks.replace_all(incremental.with_period(build(source), spec), path, [incremental.PERIOD])
-        tables[name] = incremental.load(spark, path, build(source))
+            sinks.replace_all(incremental.with_period(build(everything(source), everything), spec), path, [incremental.PERIOD])
+        tables[name] = incremental.load(spark, path, build(everything(source), everything))
+        dated[name] = incremental.with_folder(spark, path, tables[name])
         return tables[name]
 
     fuels = seeds.fuel_codes(spark)
@@ -74,20 +80,23 @@ def build_all(
 
     by_poc = save("int_generation_by_poc", core.int_generation_by_poc(stg_generation))
     generation = save("fct_generation", core.fct_generation(stg_generation))
-    price = refresh("fct_price", stg_price, core.fct_price)
-    volume = refresh("fct_market_volume", stg_volume, core.fct_market_volume)
+    price = refresh("fct_price", dated["stg_price"], lambda s, _: core.fct_price(s))
+    volume = refresh("fct_market_volume", dated["stg_market_volume"], lambda s, _: core.fct_market_volume(s))
     stack = save("fct_offer_stack", core.fct_offer_stack(stg_offer))
     hydro = save("fct_hydro", core.fct_hydro(stg_hydro, catchment))
     save("fct_run", core.fct_run(tables["stg_run"]))
     save("int_price_daily", core.int_price_daily(price))
 
-    refresh("mart_generation_daily", generation, marts.mart_generation_daily)
-    refresh("mart_generation_monthly", generation, marts.mart_generation_monthly)
-    refresh("mart_plant_ranking", generation, marts.mart_plant_ranking)
-    refresh("mart_renewable_ratio", generation, marts.mart_renewable_ratio)
+    refresh("mart_generation_daily", dated["fct_generation"], lambda s, _: marts.mart_generation_daily(s))
+    refresh("mart_generation_monthly", dated["fct_generation"], lambda s, _: marts.mart_generation_monthly(s))
+    refresh("mart_plant_ranking", dated["fct_generation"], lambda s, _: marts.mart_plant_ranking(s))
+    refresh("mart_renewable_ratio", dated["fct_generation"], lambda s, _: marts.mart_renewable_ratio(s))
     save("mart_seasonal_pattern", marts.mart_seasonal_pattern(generation))
-    daily = refresh("mart_price_daily", price, lambda s: marts.mart_price_daily(s, node, p))
-    refresh("mart_price_spike_events", price, lambda s: marts.mart_price_spike_events(s, by_poc, node, p))
+    daily = refresh("mart_price_daily", dated["fct_price"], lambda s, _: marts.mart_price_daily(s, node, p))
+    refresh(
+        "mart_price_spike_events", dated["fct_price"],
+        lambda s, within: marts.mart_price_spike_events(s, within(dated["int_generation_by_poc"]), node, p),
+    )
     save("mart_price_anomaly_events", marts.mart_price_anomaly_events(price, volume, node, p))
     curve = save("mart_offer_curve", marts.mart_offer_curve(stack))
     save("mart_price_offer_context", marts.mart_price_offer_context(price, volume, curve))
@@ -96,7 +105,8 @@ def build_all(
         marts.mart_price_spike_features(price, volume, curve, by_poc, node, dim_date, p),
     )
     refresh(
-        "mart_renewable_price_impact", price, lambda s: marts.mart_renewable_price_impact(s, by_poc, node)
+        "mart_renewable_price_impact", dated["fct_price"],
+        lambda s, within: marts.mart_renewable_price_impact(s, within(dated["int_generation_by_poc"]), node),
     )
     save("mart_hydro_price_driver", marts.mart_hydro_price_driver(hydro, daily))
     if "metering" in raw and "query_history" in raw:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,10 +33,12 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as the cluster names it in spark.checkpoint.dir.
 
-    Only where the session leaves it unset (tests, a laptop) is a local folder made.
+    Only on a local master that leaves it unset (tests, a laptop) is a local folder made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="tidewatt-")
         spark.conf.set("spark.checkpoint.dir", folder)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -47,18 +51,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, unlike a cached or local one."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+@contextmanager
+def staged(df: DataFrame, name: str):
+    """df written to the shared folder and read back; the copy goes when the block ends.
 
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Re-split a scan that has fewer splits than the session has cores.
-
-    A small file (one row group, one gzip stream) would otherwise be converted in one task.
-    Large inputs have more splits than cores and pass through without a shuffle.
+    Unlike a cached or local copy it survives lost executors.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    # By hash of the first column: unlike round robin this needs no sort to be repeatable.
-    return df.repartition(cores, df.columns[0]) if df.rdd.getNumPartitions() < cores else df
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    try:
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,7 @@ def scan_csv(
         # With pruning the parser sees only the selected columns and lets bad rows pass,
         # so what counts as a bad row would depend on the query.
         .option("columnPruning", False)
+        .option("escape", '"')  # a quote inside quotes is doubled
         .option("recursiveFileLookup", True)
         .csv(paths)
     )
@@ -68,10 +70,25 @@ def scan_csv(
 
 
 def scan_inferred(spark: SparkSession, path: str, rename: dict[str, str] | None = None) -> DataFrame:
-    """All-text scan whose columns come from the header; optional rename of the known ones."""
-    df = spark.read.option("header", True).csv(path)
-    meta = df.select("*", F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(MTIME))
-    return meta.withColumnsRenamed(rename or {})
+    """All-text scan whose columns come from the headers; optional rename of the known ones.
+
+    Files with one header are scanned together and joined by column name; a file without a column of another has nulls
+    there. A row of another width than its header fails the scan.
+    """
+    heads = spark.read.text(path, recursiveFileLookup=True, wholetext=False).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("row"))
+    # The first line of a file; one row per distinct header comes back, with the files that have it.
+    heads = heads.filter("at = 0").groupBy("path").agg(F.min_by("value", "row").alias("header"))
+    groups = heads.filter("header is not null").groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    parts = []
+    for group in sorted(groups, key=lambda g: g.header):
+        one = spark.read.options(header=True, escape='"').csv(group.paths[0]).schema
+        df = spark.read.schema(one).options(
+            header=True, escape='"', enforceSchema=False, mode="FAILFAST", columnPruning=False).csv(group.paths)
+        parts.append(df.select("*", F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(MTIME)))
+    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return found.withColumnsRenamed(rename or {})
 
 
 def scan_price(spark, path, **kw) -> DataFrame:

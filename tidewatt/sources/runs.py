@@ -12,22 +12,25 @@ DOCUMENT = (
     "results array<struct<unique_id: string, status: string, execution_time: string, failures: string, "
     "message: string, relation_name: string, adapter_response: struct<_message: string>>>"
 )
-MESSAGE_CHARS = 500
 
 
-def ingest_run_results(spark: SparkSession, path) -> DataFrame:
-    """One text row per executed node; a document is one invocation."""
+def ingest_run_results(spark: SparkSession, path, message_chars: int | None = None) -> DataFrame:
+    """One text row per executed node; a document is one invocation. message_chars cuts messages; by default none."""
     docs = spark.read.schema(DOCUMENT).option("multiLine", True).json(path)
-    return flatten_run_results(docs)
+    return flatten_run_results(docs, message_chars)
 
 
-def parse_run_results(df: DataFrame, text: str | Column) -> DataFrame:
+def parse_run_results(df: DataFrame, text: str | Column, message_chars: int | None = None) -> DataFrame:
     """The same for documents held in a text column."""
     doc = F.from_json(F.col(text) if isinstance(text, str) else text, DOCUMENT)
-    return flatten_run_results(df.select(doc.alias("d")).select("d.*"))
+    return flatten_run_results(df.select(doc.alias("d")).select("d.*"), message_chars)
 
 
-def flatten_run_results(docs: DataFrame) -> DataFrame:
+def flatten_run_results(docs: DataFrame, message_chars: int | None = None) -> DataFrame:
+    def message(c: str) -> Column:
+        whole = F.coalesce(c, F.lit(""))
+        return whole if message_chars is None else F.substring(whole, 1, message_chars)
+
     rows = docs.select("metadata.*", F.explode("results").alias("r"))
     parts = F.split("r.unique_id", r"\.")
     blank = F.lit("")
@@ -41,9 +44,7 @@ def flatten_run_results(docs: DataFrame) -> DataFrame:
         F.coalesce("r.status", blank).alias("status"),
         F.coalesce("r.execution_time", blank).alias("execution_time_seconds"),
         F.coalesce("r.failures", blank).alias("failures"),
-        F.substring(F.coalesce("r.message", blank), 1, MESSAGE_CHARS).alias("message"),
+        message("r.message").alias("message"),
         F.coalesce("r.relation_name", blank).alias("relation_name"),
-        F.substring(F.coalesce("r.adapter_response._message", blank), 1, MESSAGE_CHARS).alias(
-            "adapter_message"
-        ),
+        message("r.adapter_response._message").alias("adapter_message"),
     ).select(*RUN_COLUMNS)

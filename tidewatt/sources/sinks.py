@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.session import cut_lineage
+from tidewatt.session import staged
 
 
 def _balanced(df: DataFrame, period: Sequence[str]) -> DataFrame:
@@ -38,19 +38,22 @@ def upsert(
     """Delete target rows whose key is in the batch, then insert the batch.
 
     The period column must follow from the keys, so only the batch's periods are read and
-    rewritten. The merged rows are checkpointed before the overwrite: no plan reads what it
-    overwrites, and a failed write can be repeated. Keys must not be null.
+    rewritten. The merged rows are staged before the overwrite: no plan reads what it overwrites.
+    Months are replaced one after the other; repeating a write that failed in between heals it.
+    Keys must not be null.
     """
-    batch = cut_lineage(batch)
-    touched = [r[0] for r in batch.select(period).distinct().collect()]  # a handful of periods
-    if not touched:
-        return
-    if not table_exists(spark, path):
-        replace_period(batch, path, period)
-        return
-    target = spark.read.schema(batch.schema).parquet(path).filter(F.col(period).isin(*touched))
-    kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
-    replace_period(cut_lineage(kept.unionByName(batch)), path, period)
+    with staged(batch, "batch") as batch:
+        # One entry per period; a first load brings the whole history.
+        touched = [r[0] for r in batch.select(period).distinct().collect()]
+        if not touched:
+            return
+        if not table_exists(spark, path):
+            replace_period(batch, path, period)
+            return
+        target = spark.read.schema(batch.schema).parquet(path).filter(F.col(period).isin(*touched))
+        kept = target.join(batch.select(*keys).distinct(), list(keys), "left_anti")
+        with staged(kept.unionByName(batch), "merged") as merged:
+            replace_period(merged, path, period)
 
 
 def replace_window(
@@ -59,7 +62,8 @@ def replace_window(
     """Delete every target row of the window `column >= start`, then insert the batch.
 
     Unlike upsert this also removes rows the batch no longer produces. Periods from
-    first_period on are rewritten; those left without rows are emptied.
+    first_period on are rewritten, then those left without rows are dropped. A repeat after a
+    failure in between finds the same rows to keep and drops what is left over.
     """
     if not table_exists(spark, path):
         replace_period(batch, path, period)
@@ -67,10 +71,10 @@ def replace_window(
     target = spark.read.schema(batch.schema).parquet(path)
     window = target.filter(F.col(period) >= first_period)
     kept = window.filter(F.col(column) < F.lit(start))
-    merged = cut_lineage(kept.unionByName(batch))
-    before = {r[0] for r in window.select(period).distinct().collect()}
-    after = {r[0] for r in merged.select(period).distinct().collect()}
-    replace_period(merged, path, period)
+    with staged(kept.unionByName(batch), "merged") as merged:
+        before = {r[0] for r in window.select(period).distinct().collect()}
+        after = {r[0] for r in merged.select(period).distinct().collect()}
+        replace_period(merged, path, period)
     for stale in sorted(before - after):
         _drop_partition(spark, path, period, stale)
 
@@ -105,4 +109,4 @@ def load_report(df: DataFrame, period: str) -> DataFrame:
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with header. A single file suits dashboard-sized results only."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(header=True, escape='"').csv(path)

@@ -31,8 +31,7 @@ def month_lookback_start(target: DataFrame, column: str) -> str:
     newest = target.agg(F.max(column)).first()[0]
     if newest is None:
         return "000000"
-    year, month = int(newest[:4]), int(newest[4:])
-    return f"{year - (month == 1):04d}{(month - 2) % 12 + 1:02d}"
+    return _month_before(newest)
 
 
 def month_lookback_filter(
@@ -71,6 +70,22 @@ def with_period(df: DataFrame, spec: Incremental) -> DataFrame:
     return df.withColumn(PERIOD, month)
 
 
+def months_from(first_period: str | None):
+    """Restricts a frame to the months from a given one on and takes the period column off; all months for None."""
+
+    def within(df: DataFrame) -> DataFrame:
+        if PERIOD not in df.columns:
+            return df
+        return (df if first_period is None else df.filter(F.col(PERIOD) >= first_period)).drop(PERIOD)
+
+    return within
+
+
+def _month_before(period: str) -> str:
+    year, month = int(period[:4]), int(period[4:])
+    return f"{year - (month == 1):04d}{(month - 2) % 12 + 1:02d}" if year else period
+
+
 def refresh(
     spark: SparkSession,
     path: str,
@@ -82,12 +97,15 @@ def refresh(
 ) -> None:
     """Rebuild the lookback window of table `name` at `path` from `source`.
 
-    build maps the filtered source to table rows. By default keys of the new rows replace
+    build(source, within) maps the filtered source to table rows; within(df) cuts any other fact it joins to the same
+    months. Facts that carry the period column are pruned by it, so a refresh opens the window's folders only. A month
+    of a monthly table may hold days of the file before, so one more month is read there. By default keys of the new rows replace
     their old versions and rows that are no longer produced stay, as a delete+insert does;
     exact=True clears the whole window first.
     """
     spec = TABLES[name]
-    target = read_or_empty(spark, path, with_period(build(source), spec).schema)
+    everything = months_from(None)
+    target = read_or_empty(spark, path, with_period(build(everything(source), everything), spec).schema)
     column = spec.source_column or spec.column
     if spec.monthly:
         start = month_lookback_start(target, PERIOD)
@@ -97,7 +115,8 @@ def refresh(
         newest = target.agg(F.max(PERIOD)).first()[0]
         start = lookback_start(target.filter(F.col(PERIOD) == newest), spec.column, lookback_days)
         first_period = start.strftime("%Y%m")
-    batch = with_period(build(source.filter(F.col(column) >= F.lit(start))), spec)
+    within = months_from(_month_before(first_period) if spec.monthly else first_period)
+    batch = with_period(build(within(source).filter(F.col(column) >= F.lit(start)), within), spec)
     if exact:
         sinks.replace_window(spark, path, batch, spec.column, start, PERIOD, first_period)
     else:
@@ -108,3 +127,9 @@ def load(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at `path` with the columns of `like`; empty while nothing was written."""
     schema = T.StructType([*like.schema.fields, T.StructField(PERIOD, T.StringType())])
     return read_or_empty(spark, path, schema).select(*like.columns)
+
+
+def with_folder(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """The table at `path` with its period column, for readers that prune by it."""
+    schema = T.StructType([*like.schema.fields, T.StructField(PERIOD, T.StringType())])
+    return read_or_empty(spark, path, schema)
