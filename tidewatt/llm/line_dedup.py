@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatt.llm.shared import components, input_bytes, power_of_two, prepare, small, stored
+from tidewatt.llm.shared import components, guarded, input_bytes, power_of_two, prepare, small, stored
 from tidewatt.llm.words import Sums, binaries, mix, slices
 
 EDITS = 2
@@ -310,4 +310,5 @@ def cleaned(docs: DataFrame, edits: int = EDITS, least: int = FUZZY_LEAST) -> Da
 
 def drop_repeated_lines(docs: DataFrame, edits: int = EDITS, least: int = FUZZY_LEAST) -> DataFrame:
     """cleaned documents; one whose every line is elsewhere goes."""
-    return cleaned(docs, edits, least).filter("_left").drop("_left")
+    docs, restore = guarded(docs, "doc_id", "text", "n_chars")
+    return restore(cleaned(docs, edits, least).filter("_left"))

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewatt.llm.shared import components, input_bytes, power_of_two, prepare, small, stored
+from tidewatt.llm.shared import components, guarded, input_bytes, power_of_two, prepare, small, stored
 from tidewatt.llm.words import binaries, mix, shingles, slices, words
 
 HEAVY_DF = 8
@@ -34,7 +34,7 @@ HEAVY_KEYS = 1 << 20
 GATHER = 1 << 20
 # Star steps are repeated, at most so often, while more pairs are open than so many per entry of the lists.
 STAR_ROUNDS = 2
-CROSSINGS_PER_ENTRY = 8
+CROSSINGS_PER_ENTRY = 64
 _U = np.uint64
 
 
@@ -323,7 +323,7 @@ def _stars(lists: DataFrame, step: int, percent: int) -> DataFrame:
     """Every entry with one head of its list and size class, another one in each step."""
     banded = lists.withColumn("band", _band(step, percent))
     heads = banded.filter("shallow").groupBy("key", "band").agg(
-        F.min_by(F.struct("rep", "n", "tail", "comp"), F.xxhash64("rep", F.lit(step))).alias("head"))
+        F.max_by(F.struct("rep", "n", "tail", "comp"), F.struct(F.col("tail") / F.col("n"), F.xxhash64("rep", F.lit(step)))).alias("head"))
     found = banded.join(heads, ["key", "band"]).filter("comp <> head.comp")
     found = found.filter(_fits("n", "head.n", "tail", "head.tail", percent))
     return found.select(F.greatest("rep", "head.rep").alias("u"), F.least("rep", "head.rep").alias("v")).distinct()
@@ -338,8 +338,12 @@ def _across(lists: DataFrame, percent: int) -> DataFrame:
     crossing = p.filter("shallow").join(q, "key").filter("p.comp <> q.comp").filter(
         f"100 * p.hi >= {percent} * q.lo and 100 * q.hi >= {percent} * p.lo and "
         f"{100 + percent} * least(p.tail, q.tail) >= {need}")
-    crossing = crossing.select("key", F.col("p.comp").alias("comp"), F.col("q.comp").alias("other"))
-    left = lists.filter("shallow").join(crossing, ["key", "comp"]).select("key", "rep", "n", "tail", "other")
+    crossing = crossing.select("key", F.col("p.comp").alias("comp"), F.col("q.comp").alias("other"), "q.lo", "q.hi",
+                               F.col("q.tail").alias("most"))
+    left = lists.filter("shallow").join(crossing, ["key", "comp"]).filter(
+        f"100 * n >= {percent} * lo and 100 * hi >= {percent} * n and "
+        f"{100 + percent} * least(tail, most) >= {percent} * (n + greatest(lo, ceil({percent} * n / 100)))")
+    left = left.select("key", "rep", "n", "tail", "other")
     right = lists.select("key", F.col("comp").alias("other"), F.col("rep").alias("rep2"), F.col("n").alias("n2"),
                          F.col("tail").alias("tail2"))
     found = left.join(right, ["key", "other"]).filter(_fits("n", "n2", "tail", "tail2", percent))
@@ -373,9 +377,11 @@ def link_documents(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     hot = described.select("grp", "n", "hot", "hot_at").mapInArrow(_explode_hot, posting).distinct()
     postings = stored(light.unionByName(hot), "postings")
 
-    # Stars: every member of a list with the smallest member of its size band; group members with the smallest one.
+    # Stars: every member of a list with the head of its size band; group members with the smallest one. The head is
+    # the entry with the fewest rare shingles before the common one: the original rather than one of its variants.
     banded = postings.withColumn("band", _band(0, percent))
-    heads = banded.filter(_shallow(percent)).groupBy("key", "band").agg(F.min(F.struct("grp", "n", "tail")).alias("head"))
+    heads = banded.filter(_shallow(percent)).groupBy("key", "band").agg(
+        F.max(F.struct(F.col("tail") / F.col("n"), "grp", "n", "tail")).alias("head"))
     stars = (banded.join(heads, ["key", "band"]).filter("grp <> head.grp")
              .filter(_fits("n", "head.n", "tail", "head.tail", percent))
              .select("grp", F.col("head.grp").alias("other")).distinct())
@@ -415,4 +421,5 @@ def one_per_group(docs: DataFrame, k: int = 5, percent: int = 75) -> DataFrame:
     """The document with the smallest id of each linked group, and every document that is linked with none."""
     groups = link_documents(docs, k, percent)
     copies = stored(groups.filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy")), "copies")
-    return docs.join(small(copies), F.col("doc_id") == F.col("_copy"), "left_anti")
+    docs, restore = guarded(docs, "doc_id", "text")
+    return restore(docs.join(small(copies), F.col("doc_id") == F.col("_copy"), "left_anti"))

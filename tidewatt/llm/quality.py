@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatt.llm.shared import prepare, small, stored
+from tidewatt.llm.shared import guarded, prepare, small, stored
 from tidewatt.llm.words import Sums, lines, mix, per_text, sequences, slices, words
 
 # Columns of the base rules, then those of the adaptive ones.
@@ -165,4 +165,5 @@ def judged(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The documents that pass, with their columns unchanged."""
-    return judged(docs).filter("_kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    docs, restore = guarded(docs, "text", "lang", "source")
+    return restore(judged(docs).filter("_kept"))

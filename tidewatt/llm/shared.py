@@ -43,6 +43,13 @@ def stored(df: DataFrame, name: str, *partition: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def guarded(docs: DataFrame, *own: str):
+    """(docs, restore): columns other than own get names that nothing clashes with; restore puts them back."""
+    names = [c if c in own else f"other column {i}" for i, c in enumerate(docs.columns)]
+    columns = docs.columns
+    return docs.toDF(*names), lambda df: df.select(*[F.col(f"`{n}`") for n in names]).toDF(*columns)
+
+
 def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """df with a broadcast hint if it is no longer than that, else as it is. df must be stored."""
     return F.broadcast(df) if df.count() <= rows else df
