@@ -242,7 +242,7 @@ def linked_lines(docs: DataFrame, firsts: DataFrame, edits: int, least: int) ->
     wanted = ends.join(firsts, "line").groupBy(F.col("first.doc_id").alias("doc_id")).agg(
         F.collect_list(F.struct(F.col("first.line_no").alias("line_no"), "line")).alias("wanted"))
     wanted = stored(wanted, "line_ends")
-    texts = stored(docs.join(small(wanted), "doc_id").select("text", "wanted").mapInArrow(
+    texts = stored(docs.join(small(wanted, "size(wanted)"), "doc_id").select("text", "wanted").mapInArrow(
         _texts, "line long, content string"), "line_texts")
     found = pairs.join(texts.select(F.col("line").alias("u"), F.col("content").alias("a")), "u")
     found = found.join(texts.select(F.col("line").alias("v"), F.col("content").alias("b")), "v")
@@ -299,7 +299,7 @@ def cleaned(docs: DataFrame, edits: int = EDITS, least: int = FUZZY_LEAST) -> Da
     prepare(docs.sparkSession)
     gone = stored(repeated(docs, edits, least).select(
         F.col("doc_id").alias("_doc"), F.concat("exact", "near").alias("_gone")), "repeated")
-    rows = docs.join(small(gone), F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
+    rows = docs.join(small(gone, "size(_gone) + 1"), F.col("doc_id") == F.col("_doc"), "left").drop("_doc")
     schema = T.StructType([*docs.schema.fields, T.StructField("_left", T.BooleanType())])
     rows = rows.mapInArrow(_cut, schema)
     if "n_chars" in docs.columns:

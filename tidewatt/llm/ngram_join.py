@@ -272,7 +272,7 @@ def _check(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame
     texts = docs.select("doc_id", "text")
 
     def sets(wanted):
-        return texts.join(small(wanted), "doc_id").mapInArrow(
+        return texts.join(small(wanted, "size(others) + 1"), "doc_id").mapInArrow(
             _sets(k), "doc_id long, others array<long>, grams binary")
 
     lists = stored(pairs.groupBy(F.col("u").alias("doc_id")).agg(F.collect_list("v").alias("others")), "partners")

@@ -45,7 +45,7 @@ def op4_line_dedup(spark, sf_dir):
     gone = line_dedup.repeated(docs)
     lines = F.coalesce(F.size(F.split("text", "\n")), F.lit(0)).cast("long")
     size = lambda c: F.coalesce(F.size(c), F.lit(0)).cast("long")
-    rows = docs.join(small(stored(gone, "repeated")), "doc_id", "left")
+    rows = docs.join(small(stored(gone, "repeated"), "size(exact) + size(near) + 1"), "doc_id", "left")
     drop = F.coalesce(F.concat("exact", "near"), F.array().cast("array<bigint>"))
     kept = F.concat_ws("\n", F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("drop"), i.cast("long"))))
     rows = rows.withColumns({"n_lines": lines, "n_exact": size("exact"), "n_near": size("near"), "drop": drop})

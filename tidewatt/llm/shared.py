@@ -50,9 +50,13 @@ def guarded(docs: DataFrame, *own: str):
     return docs.toDF(*names), lambda df: df.select(*[F.col(f"`{n}`") for n in names]).toDF(*columns)
 
 
-def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """df with a broadcast hint if it is no longer than that, else as it is. df must be stored."""
-    return F.broadcast(df) if df.count() <= rows else df
+def small(df: DataFrame, values: str = "1", most: int = BROADCAST_ROWS) -> DataFrame:
+    """df with a broadcast hint if it holds at most so many rows, or values of an array column, else as it is.
+
+    df must be stored: its size is read before it is used.
+    """
+    held = df.select(F.coalesce(F.sum(F.expr(values)), F.lit(0))).first()[0]
+    return F.broadcast(df) if held <= most else df
 
 
 def input_bytes(docs: DataFrame, text: str = "text") -> int:
