@@ -75,6 +75,12 @@ def test_a_refresh_opens_its_months_only(spark, workdir, monkeypatch):
     assert len(scans) == 2 and all("PartitionFilters: [isnotnull(period_month" in x for x in scans)
 
 
+def test_offers_are_read_once(spark):
+    text = plan(contract.queries()["offer_stack"](spark, SF_DIR))
+    assert text.count("lineitem.parquet") == 1
+    assert "Expand" not in plan(contract.queries()["offer_curve"](spark, SF_DIR))
+
+
 def test_no_local_folder_on_a_cluster():
     from types import SimpleNamespace
 

@@ -125,8 +125,12 @@ def fct_market_volume(stg_market_volume: DataFrame) -> DataFrame:
     )
 
 
-def fct_offer_stack(stg_energy_offer: DataFrame, price_step: float = 25.0) -> DataFrame:
-    """Supply stack: offers of a node and half hour in price order with the running MW."""
+def fct_offer_stack(stg_energy_offer: DataFrame) -> DataFrame:
+    """Supply stack: offers of a node and half hour in price order with the running MW.
+
+    A group is one node and half hour, bounded by its participants, units and tranches whatever the history, so a plain
+    window in one shuffle is enough.
+    """
     offers = stg_energy_offer.select(
         "offer_id",
         date_key("trading_date").alias("date_key"),
@@ -138,8 +142,8 @@ def fct_offer_stack(stg_energy_offer: DataFrame, price_step: float = 25.0) -> Da
         "forecast_generation_potential_mw", MTIME,
     )
     order = [F.col(c).asc_nulls_last() for c in ("offer_price_nzd_mwh", "tranche", "participant_code", "unit")]
-    band = F.floor(F.col("offer_price_nzd_mwh") / price_step)
-    return prefix.running_sum(offers, TP_KEY, order, "offer_mw", band, "cumulative_offered_mw")
+    so_far = Window.partitionBy(*TP_KEY).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return offers.withColumn("cumulative_offered_mw", F.sum("offer_mw").over(so_far))
 
 
 def fct_hydro(stg_hydro_storage: DataFrame, dim_catchment: DataFrame) -> DataFrame:

@@ -181,8 +181,9 @@ def mart_offer_curve(fct_offer_stack: DataFrame) -> DataFrame:
     price = F.col("offer_price_nzd_mwh")
     curve = fct_offer_stack.groupBy(*TP_KEY).agg(
         F.count(F.lit(1)).alias("offer_tranche_count"),
-        F.count_distinct("participant_code").alias("offer_participant_count"),
-        F.count_distinct("unit").alias("offer_unit_count"),
+        # Two distinct counts would copy every offer; the sets of a node and half hour are small.
+        F.size(F.collect_set("participant_code")).cast("long").alias("offer_participant_count"),
+        F.size(F.collect_set("unit")).cast("long").alias("offer_unit_count"),
         F.sum("offer_mw").alias("total_offered_mw"),
         *sums_up_to("offer_price_nzd_mwh", "offer_mw", OFFER_LIMITS, "offered_mw_at_or_below_"),
         F.min(price).alias("min_offer_price_nzd_mwh"),
@@ -246,8 +247,6 @@ def mart_price_spike_features(
         share_pct("renewable_generation_kwh", "total_generation_kwh").alias("renewable_pct"),
     )
     base = look_up(price, fct_market_volume, TP_KEY, volume)
-    base = look_up(base, mart_offer_curve, TP_KEY, curve)
-    base = look_up(base, share, TP_KEY, ["generation_kwh", "renewable_generation_kwh", "renewable_pct"])
     # 336 rows are seven ordinary days, counted as rows: a short day reaches further back.
     rolled = trailing_rows(
         base, ["poc_code"], "trading_date", ["tp_number"],
@@ -260,6 +259,8 @@ def mart_price_spike_features(
         n=336,
     )
     # Wide attributes join last, so the window shuffle does not carry them.
+    rolled = look_up(rolled, mart_offer_curve, TP_KEY, curve)
+    rolled = look_up(rolled, share, TP_KEY, ["generation_kwh", "renewable_generation_kwh", "renewable_pct"])
     located = look_up(rolled, dim_node, "poc_code", ["island", "region"])
     days = ["month", "day_of_week_iso", "is_weekend", "is_nz_holiday", "season"]
     dated = look_up(located, dim_date, "trading_date", days)
