@@ -129,10 +129,23 @@ def test_median(spark):
             want.setdefault(k, []).append(x)
     got = {r.k: r.m for r in agg.median(df, ["k"], "x", "m").collect()}
     assert got == {k: statistics.median(v) for k, v in want.items()}
+    assert {r.k: r.m for r in agg.median(df, ["k"], "x", "m", most=3).collect()} == got
     assert agg.median(df.filter("k = 'two'"), [], "x", "m").first().m == 2.5
     assert agg.median(df.filter("k = 'none'"), ["k"], "x", "m").count() == 0
 
 
+def test_median_orders_few_rows_of_many(spark, monkeypatch):
+    """However many distinct values there are, the last bracket, which the ordered pass sees, holds no more than the bound."""
+    brackets = []
+    store = agg.stored_brackets
+    monkeypatch.setattr(agg, "stored_brackets", lambda *a: brackets.append(store(*a)) or brackets[-1])
+    for n in (200_000, 1_000_000):
+        df = spark.range(n).select(((F.col("id") * 7919) % n).cast("double").alias("x"))
+        assert agg.median(df, [], "x", "m", most=5_000).first().m == (n - 1) / 2
+        lo, hi = brackets[-1].first()
+        assert 0 < df.filter(F.col("x").between(lo, hi)).count() <= 5_000
+
+
 def test_dedup_keeps_one_row_per_key_and_limits_before_the_shuffle(spark):
     rows = [("hot", i % 5, i) for i in range(500)] + [("b", None, 1), ("b", 2, 0)]
     df = spark.createDataFrame(rows, "k string, v int, tie int")

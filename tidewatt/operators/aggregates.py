@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatt.session import scratch_path
+
 
 def sum_where(condition: Column, value: str | Column) -> Column:
     v = F.col(value) if isinstance(value, str) else value
@@ -40,29 +42,47 @@ def weighted_avg(value: str, weight: str) -> Column:
     return F.when(w != 0, F.sum(F.col(weight) * F.col(value)) / w)
 
 
-def median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFrame:
-    """Exact median per group, without holding a group in memory.
+# Rows of a group that one ordered pass of median may hold, and the steps of the sketches that narrow to them.
+MEDIAN_ROWS = 100_000
+MEDIAN_STEPS = 1000
+
+
+def median(df: DataFrame, keys: Sequence[str], value: str, out: str, most: int = MEDIAN_ROWS) -> DataFrame:
+    """Exact median per group; no task orders more than about `most` rows of a group, whatever its size.
 
-    A mergeable quantile sketch brackets the middle; its rank error (at most 1e-4 of the rows)
-    is well below the bracket's half width (1e-3), so the middle rows are always inside.
-    Rows on either side are only counted; equal values inside are collapsed before the one
-    ordered pass. A miss would show in the exact counts and fail the query.
+    A bracket around the middle is narrowed until few rows are left in it: a mergeable quantile sketch of the rows inside
+    gives MEDIAN_STEPS steps, and the steps next to the middle, ten times the sketch's rank error away, are the next
+    bracket. Each pass leaves a few thousandths of the rows (three passes for 10^12). Rows outside are only counted, and
+    equal values inside are one row, so many repeats of the middle end the narrowing as well.
     """
     keys = list(keys)
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
     present = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
-    bracket = present.groupBy(*keys).agg(
-        F.percentile_approx("_v", F.array(F.lit(0.499), F.lit(0.501)), 10000).alias("_q")
-    )
-    if keys:
-        tagged = _null_safe_join(present, bracket, keys)
-    else:
-        tagged = present.withColumn("_q", bracket.scalar())
-    lo, hi, v = F.col("_q")[0], F.col("_q")[1], F.col("_v")
+    below = F.coalesce(v < lo, F.lit(False))
+    inside = ~below & F.coalesce(v <= hi, F.lit(True))
+    brackets = present.select(*keys).distinct() if keys else df.sparkSession.range(1).select()
+    brackets = brackets.withColumns({c: F.lit(None).cast("double") for c in ("_lo", "_hi")})
+    while True:
+        tagged = _with_bracket(present, brackets, keys)
+        held = tagged.groupBy(*keys).agg(
+            F.count_if(below).alias("_below"), F.count_if(inside).alias("_inside"), F.count("*").alias("_n"),
+            F.min(F.when(inside, v)).alias("_least"), F.max(F.when(inside, v)).alias("_largest"))
+        wide = held.filter((F.col("_inside") > most) & (F.col("_least") < F.col("_largest")))
+        if wide.limit(1).count() == 0:
+            break
+        cuts = tagged.filter(inside).groupBy(*keys).agg(F.percentile_approx(
+            "_v", F.array(*[F.lit(i / MEDIAN_STEPS) for i in range(MEDIAN_STEPS + 1)]), 10 * MEDIAN_STEPS).alias("_cuts"))
+        placed = _null_safe_join(held, cuts, keys) if keys else held.withColumn("_cuts", cuts.scalar())
+        # Ranks of the middle rows among those inside, as steps.
+        low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
+        step = lambda r: F.floor(MEDIAN_STEPS * (r - F.col("_below")) / F.col("_inside")).cast("int")
+        at = lambda i: F.element_at("_cuts", F.greatest(F.least(i + 1, F.lit(MEDIAN_STEPS + 1)), F.lit(1)))
+        narrowed = placed.select(*keys, at(step(low) - 1).alias("_lo"), at(step(high) + 2).alias("_hi"))
+        before = brackets
+        brackets = stored_brackets(narrowed, before)
+    side = F.when(below, -1).when(inside, 0).otherwise(1)
     # One row per distinct value inside the bracket, one row for each side outside it.
-    side = F.when(v < lo, -1).when(v > hi, 1).otherwise(0)
-    steps = tagged.groupBy(*keys, side.alias("_side"), F.when(side == 0, v).alias("_v")).agg(
-        F.count(F.lit(1)).alias("_c")
-    )
+    steps = tagged.groupBy(*keys, side.alias("_side"), F.when(inside, v).alias("_v")).agg(F.count(F.lit(1)).alias("_c"))
     group = Window.partitionBy(*keys)
     running = group.orderBy("_side", "_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = steps.select(
@@ -75,12 +95,26 @@ def median(df: DataFrame, keys: Sequence[str], value: str, out: str) -> DataFram
     )
     low, high = F.floor((F.col("_n") + 1) / 2), F.floor((F.col("_n") + 2) / 2)
 
-    def at(r):
+    def found(r):
         hit = (F.col("_side") == 0) & (F.col("_first") <= r) & (F.col("_last") >= r)
-        found = F.max(F.when(hit, F.col("_v")))
-        return F.coalesce(found, F.raise_error(F.lit("median outside its bracket")))
+        return F.max(F.when(hit, F.col("_v")))
 
-    return placed.groupBy(*keys).agg(((at(low) + at(high)) / 2).alias(out))
+    return placed.groupBy(*keys).agg(((found(low) + found(high)) / 2).alias(out))
+
+
+def stored_brackets(narrowed: DataFrame, before: DataFrame) -> DataFrame:
+    """The next brackets, one row per group, cut off from the passes that made them."""
+    spark = narrowed.sparkSession
+    path = scratch_path(spark, "median")
+    narrowed.select(*before.columns).write.parquet(path)
+    return spark.read.schema(before.schema).parquet(path)
+
+
+def _with_bracket(rows: DataFrame, brackets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    if keys:
+        return _null_safe_join(rows, brackets, keys)
+    one = brackets.first()
+    return rows.withColumns({c: F.lit(one[c] if one else None).cast("double") for c in ("_lo", "_hi")})
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
