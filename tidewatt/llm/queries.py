@@ -94,3 +94,60 @@ def op5_license_scan(spark, sf_dir):
 @query
 def op9_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+# ---- SQL forms of the operators that have one --------------------------------------------------
+
+WORD = r"[^\x20\x09-\x0D]+"
+LOWERED = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+SQL["op1_ngram_jaccard_join"] = f"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT doc_id, regexp_extract_all({LOWERED}, '{WORD}') AS ws FROM documents),
+s AS MATERIALIZED (SELECT doc_id, unnest(list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+  ELSE [array_to_string(ws[i:i + 4], ' ') FOR i IN range(1, len(ws) - 3)] END)) AS g FROM w),
+n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS MATERIALIZED (SELECT u, v FROM p JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v WHERE 100 * c >= 75 * (x.n + y.n - c)),
+r AS (SELECT doc_id, doc_id AS c FROM documents UNION SELECT l.v, r.c FROM r JOIN l ON l.u = r.doc_id)
+SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+
+
+def _quartile_sql(name: str, keys: str) -> str:
+    """Quartile buckets of the merged sketches k by keys."""
+    return f"""{name} AS (SELECT {keys} r, max(total) AS total, min(b) FILTER (4 * seen >= total) AS low,
+  min(b) FILTER (4 * seen >= 3 * total) AS high FROM (SELECT *, sum(d) OVER (PARTITION BY {keys} r ORDER BY b) AS seen,
+  sum(d) OVER (PARTITION BY {keys} r) AS total FROM (SELECT {keys} r, b, sum(d) AS d FROM k GROUP BY {keys} r, b)) GROUP BY {keys} r)"""
+
+
+RATIO_ROWS = ", ".join(
+    f"('{r}', {scale} * {top} // greatest({under}, 1), {least}, {str(below).lower()})"
+    for r, (top, under, scale, least, below) in quality.RATIOS.items())
+
+SQL["op2_quality_rules"] = f"""
+WITH w AS MATERIALIZED (SELECT doc_id, coalesce('=' || lang, '-') AS l, coalesce('=' || source, '-') AS s, coalesce(text, '') AS t,
+  regexp_extract_all(coalesce(text, ''), '{WORD}') AS ws FROM documents),
+li AS (SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT x) AS n_dup FROM
+  (SELECT doc_id, unnest(string_split(t, chr(10))) AS x FROM w) WHERE regexp_matches(x, '{WORD}') GROUP BY doc_id),
+tri AS (SELECT doc_id, i, array_to_string(ws[i:i + 2], ' ') AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w)),
+rep AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS c FROM tri),
+  (VALUES (0), (1), (2)) AS o(j) WHERE c > 1 GROUP BY doc_id),
+f AS MATERIALIZED (SELECT w.doc_id, l, s, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+  CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup, 0) AS n_dup_lines,
+  coalesce(rep.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines, length(regexp_replace(t, '[^A-Z]', '', 'g')) AS n_upper,
+  length(regexp_replace(t, '[^!-/:-@\\[-`{{-~]', '', 'g')) AS n_marks
+  FROM w LEFT JOIN li ON li.doc_id = w.doc_id LEFT JOIN rep ON rep.doc_id = w.doc_id),
+b AS MATERIALIZED (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM f),
+v AS MATERIALIZED (SELECT b.doc_id, l, s, base_failed, x.r, x.v, x.least, x.below, greatest(length(bin(x.v)) - 6, 0) AS shift
+  FROM b, LATERAL (VALUES {RATIO_ROWS}) AS x(r, v, least, below)),
+k AS MATERIALIZED (SELECT l, s, r, (v >> shift) << shift AS b, count(*) AS d FROM v WHERE NOT base_failed GROUP BY ALL),
+{_quartile_sql('own', 'l, s,')}, {_quartile_sql('by_lang', 'l,')}, {_quartile_sql('world', '')},
+q AS (SELECT own.l, own.s, own.r,
+  CASE WHEN own.total >= {quality.LEAST_DOCS} THEN own.low WHEN by_lang.total >= {quality.LEAST_DOCS} THEN by_lang.low ELSE world.low END AS low,
+  CASE WHEN own.total >= {quality.LEAST_DOCS} THEN own.high WHEN by_lang.total >= {quality.LEAST_DOCS} THEN by_lang.high ELSE world.high END AS high
+  FROM own JOIN by_lang ON by_lang.l = own.l AND by_lang.r = own.r JOIN world ON world.r = own.r),
+out AS (SELECT doc_id, bool_and(v.v <= high + greatest({quality.FENCE} * (high - low), least)
+  AND (NOT below OR v.v >= low - greatest({quality.FENCE} * (high - low), least))) AS inside
+  FROM v JOIN q ON q.l = v.l AND q.s = v.s AND q.r = v.r GROUP BY doc_id)
+SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(inside, true) AS kept
+FROM b LEFT JOIN out ON out.doc_id = b.doc_id"""
