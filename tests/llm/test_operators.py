@@ -259,6 +259,27 @@ def test_pseudonyms(spark, docs, rows, nothing):
     assert pseudonyms.pseudonymize(nothing, b"key").count() == 0
 
 
+def test_pseudonyms_of_written_phones_and_timestamps():
+    f = pseudonyms.Feistel(b"key")
+    phones = ("+1 (017) 555-7713", "+1 (132) 555-1352", "+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+49 30 123456", "(020) 7946 0958",
+              "020 7946 0958", "01 23 45 67 89", "132-555-1352", "132.555.1352", "(132) 555-1352", "469-555-2068x12", "+33 1 23 45 67 89", "4695552068",
+              "+7 (495) 123-45-67", "+4912345678901", "+1.4695552068", "+351 21 123 4567", "+52 55 1234 5678")
+    for phone in phones:
+        for text in (phone, f"call {phone}, or 12 of", f"{phone}%%% c", f"at {phone} 2024-02-29T10:00 on"):
+            out, n = pseudonyms.pseudonymous(text, f)
+            assert phone not in out and n["phones"] == 1 and n["dates"] == ("T10" in text), text
+            assert [c for c in out if not c.isdigit()] == [c for c in text if not c.isdigit()] and len(out) == len(text)
+            assert pseudonyms.pseudonymous(out, f, True)[0] == text
+    digits = lambda t: "".join(c for c in pseudonyms.pseudonymous(t, f)[0] if c.isdigit())
+    assert digits("+44 20 7946 0958") == digits("+442079460958") == "44" + digits("020 7946 0958")[1:] == digits("+44 (0)20 7946 0958").replace("440", "44", 1)
+    assert digits("+1 (132) 555-1352")[1:] == digits("132-555-1352")
+    out, n = pseudonyms.pseudonymous("2024-02-29T10:00 and 31.12.1999T08:15:00Z", f)
+    assert n["dates"] == 2 and "2024-02-29" not in out and "T10:00" in out and "T08:15:00Z" in out
+    same = "run 1325551352 of +3.14159265 in (2019) 345-367 at 012 345 678 901 234"  # no phone
+    assert pseudonyms.pseudonymous(same, f)[0] == same
+    assert pseudonyms.pseudonymous("on 01/02/2024 10 h, 01.02.2024 10:30, 012-34-5678", f)[1] == dict.fromkeys(pseudonyms.NAMES, 0) | {"dates": 2, "socials": 1}
+
+
 LETTERS = {"xx": "etaoin shrdlu", "yy": "ôéàçû vjkz", "zz": "бвгдеж"}
 
 

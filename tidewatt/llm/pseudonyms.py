@@ -115,6 +115,8 @@ def _card(f: Feistel, m: re.Match, back: bool) -> str | None:
     d = _only(m[0])
     if int(d[-1]) != luhn(d[:-1]) or not int(d):
         return None
+    if len(d) < 16 and _PLUS.match(m.string, max(m.start() - 1, 0)):
+        return None  # a phone number
     body = f.number("card", d[:-1], lambda x: int(x) > 0, back)
     return _put(m[0], body + str(luhn(body)))
 
@@ -138,11 +140,65 @@ def _good_phone(d: str) -> bool:
     return d[0] in "23456789" and d[3] in "23456789"
 
 
-def _phone(f: Feistel, m: re.Match, back: bool) -> str | None:
-    d = _only(m["local"])
-    if not _good_phone(d):
+# What may stand between two groups of a phone number.
+_SEP = r"[ ./\u00a0\u2010-\u2013-]"
+# A date or an address after a phone number is not a group of it.
+_NEXT = r"(?!\d{4}-\d\d-\d\d(?!\d)|(?<!\.)\d\d?[./]\d\d?[./]\d{4}(?!\d)|(?<!\.)\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))"
+_END = r"(?:(?!\w)|(?=x\d))"
+_PLUS = re.compile(rf"(?<![\w+])\+\(?\d{{1,15}}(?:(?:{_SEP}\(?|\){_SEP}?\(?|\(){_NEXT}\d{{1,14}}){{0,7}}{_END}", re.A)
+_BRACKETS = re.compile(rf"(?<![\w+(])\((?![1-9]\d{{3}}\))\d{{2,6}}\){_SEP}?\d{{2,8}}(?:{_SEP}{_NEXT}\d{{2,8}}){{0,4}}{_END}", re.A)
+_GROUPS = re.compile(rf"(?<![\w+])(?:\(\d{{3}}\){_SEP}?|\d{{3}}{_SEP}?)\d{{3}}{_SEP}?\d{{4}}{_END}", re.A)
+# Neither a date nor a social number; a leading 0 and groups make it a phone.
+_TRUNK = re.compile(
+    rf"(?<![\w+.,/-])(?!\d\d?{_SEP}\d\d?{_SEP}\d{{4}}(?!\d))(?!\d{{3}}-\d\d-\d{{4}}(?![\w-]))"
+    rf"0\d{{1,5}}(?:{_SEP}{_NEXT}\d{{2,8}}){{1,5}}(?!:\d){_END}", re.A)
+_TWO = {"20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48", "49", "51", "52", "53", "54",
+        "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95", "98"}
+
+
+def _code(d: str) -> int:
+    """Digits of the country code a number begins with."""
+    return 1 if d[0] in "17" else 2 if d[:2] in _TWO else 3
+
+
+def _local(f: Feistel, d: str, back: bool) -> str:
+    """A leading 0 (trunk prefix) stays; the rest stays in its class, so that it is read in the same way again."""
+    head, d = ("0", d[1:]) if d[0] == "0" else ("", d)
+    of = lambda x: (x[0] == "0", len(x) == 10 and _good_phone(x))
+    return head + f.number("phone", d, lambda x: of(x) == of(d), back)
+
+
+def _plus(f: Feistel, m: re.Match, back: bool) -> tuple[str, int] | None:
+    """(pseudonym, its end): the country code stays. Groups that would make the number too long are not part of it."""
+    groups = list(re.finditer(r"\d+", m[0]))
+    code, most = _code(_only(m[0])), 11 if groups[0][0][0] in "17" else 13
+    if len(groups[0][0]) < code:
+        if m[0][groups[0].end():groups[0].end() + 1] == ".":
+            return None  # a decimal number
+        code = len(groups[0][0])
+    n = len(groups[0][0])
+    end = groups[0].end()
+    for g in groups[1:]:
+        if n + len(g[0]) > most:
+            break
+        n, end = n + len(g[0]), g.end()
+    text = m[0][:end]
+    d = _only(text)
+    if not 7 <= n <= 15 or n - code < 4:
         return None
-    return m["code"] + _put(m["local"], f.number("phone", d, _good_phone, back))
+    return _put(text, d[:code] + _local(f, d[code:], back)), m.start() + end
+
+
+def _grouped(f: Feistel, m: re.Match, back: bool) -> str | None:
+    d = _only(m[0])
+    if len(d) == len(m[0]) and not _good_phone(d):
+        return None  # a bare run of ten digits
+    return _put(m[0], _local(f, d, back))
+
+
+def _spaced(f: Feistel, m: re.Match, back: bool) -> str | None:
+    d = _only(m[0])
+    return _put(m[0], _local(f, d, back)) if 8 + (m[0][0] == "0") <= len(d) <= 13 else None
 
 
 def _good_social(d: str) -> bool:
@@ -203,13 +259,14 @@ KINDS: list[tuple[str, re.Pattern, Callable, str]] = [
         r"(?<!\w)[A-Z]{2}\d\d(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?!\w)", re.A), _iban, DIGITS),
     ("cards", re.compile(
         r"(?<!\w)(?:\d{13,19}|\d{4}(?P<s>[ -])\d{4}(?P=s)\d{4}(?P=s)\d{1,7}|\d{4}(?P<t>[ -])\d{6}(?P=t)\d{5})(?!\w)", re.A), _card, DIGITS),
-    ("phones", re.compile(
-        r"(?<![\w+])(?P<code>(?:\+\d{1,3}[ .-]?)?)(?P<local>(?:\(\d{3}\)[ .-]?|\d{3}[ .-]?)\d{3}[ .-]?\d{4})(?!\w)", re.A),
-     _phone, DIGITS),
+    ("phones", _PLUS, _plus, "+"),
+    ("phones", _GROUPS, _grouped, DIGITS),
+    ("phones", _BRACKETS, _spaced, "("),
+    ("phones", _TRUNK, _spaced, "0"),
     ("socials", re.compile(r"(?<![\w-])\d{3}-\d\d-\d{4}(?![\w-])", re.A), _social, DIGITS),
     ("addresses", re.compile(r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w|\.\d)", re.A), _address, DIGITS),
-    ("dates", re.compile(r"(?<![\w./-])(?P<a>\d{4})(?P<s>-)(?P<b>\d\d)-(?P<c>\d\d)(?![\w-])", re.A), _date, DIGITS),
-    ("dates", re.compile(r"(?<![\w./-])(?P<a>\d\d?)(?P<s>[./])(?P<b>\d\d?)(?P=s)(?P<c>\d{4})(?!\w)", re.A), _date, DIGITS),
+    ("dates", re.compile(r"(?<![\w./-])(?P<a>\d{4})(?P<s>-)(?P<b>\d\d)-(?P<c>\d\d)(?!(?![Tt]\d\d)[\w-])", re.A), _date, DIGITS),
+    ("dates", re.compile(r"(?<![\w./-])(?P<a>\d\d?)(?P<s>[./])(?P<b>\d\d?)(?P=s)(?P<c>\d{4})(?!(?![Tt]\d\d)\w)", re.A), _date, DIGITS),
 ]
 NAMES = list(dict.fromkeys(k for k, *_ in KINDS))
 _ANY = re.compile(r"[0-9@=:]")
@@ -229,7 +286,8 @@ def pseudonymous(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
                 continue
             new = make(feistel, m, back)
             if new is not None:
-                taken.append((*m.span(), new))
+                new, end = new if isinstance(new, tuple) else (new, m.end())
+                taken.append((m.start(), end, new))
                 counts[kind] += 1
     out, at = [], 0
     for a, b, new in sorted(taken):
