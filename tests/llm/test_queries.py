@@ -19,7 +19,7 @@ KEYS = {5: ("documents", "doc_id"), 7: ("documents", "doc_id"), 8: ("documents",
 
 
 def test_names():
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("n", sorted(KEYS))

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatt.llm import decontaminate, language_id, licenses, line_dedup, ngram_join, packing, pseudonyms, quality, training_order, url_filter
+from tidewatt.llm import (
+    byte_bpe, decontaminate, language_id, licenses, line_dedup, merkle, ngram_join, packing, periodic, pseudonyms, quality, training_order,
+    url_filter,
+)
 from tidewatt.llm.shared import prepare, small, stored
 
 QUERIES: dict = {}
@@ -96,6 +99,26 @@ def op9_url_filter(spark, sf_dir):
     return url_filter.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_byte_bpe(spark, sf_dir):
+    """Digests of the ids of every text, and of the bytes they decode to."""
+    return byte_bpe.digest(byte_bpe.decoded(byte_bpe.encoded(table(spark, sf_dir, "documents"))))
+
+
+@query
+def op12_merkle_manifest(spark, sf_dir):
+    """Every row against a copy in which some texts are lower-cased."""
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    found = F.when(F.expr("crc32(cast(doc_id as string)) % 5 = 0"), lowered).otherwise(F.col("text"))
+    return merkle.manifest(table(spark, sf_dir, "documents"), found)
+
+
+@query
+def op13_periodic_runs(spark, sf_dir):
+    """Runs of every text, a tenth of which has a period planted."""
+    return periodic.digest(periodic.detect(periodic.planted(table(spark, sf_dir, "documents"))))
+
+
 # ---- SQL forms of the operators that have one --------------------------------------------------
 
 WORD = r"[^\x20\x09-\x0D]+"

@@ -36,10 +36,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def stored(df: DataFrame, name: str, *partition: str) -> DataFrame:
+def stored(df: DataFrame, name: str, *partition: str, **options) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    df.write.partitionBy(*partition).parquet(path)
+    df.write.options(**options).partitionBy(*partition).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
