@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter, defaultdict
+from hashlib import sha256
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANK = " \t\n\r\x0b\x0c"
@@ -106,3 +108,72 @@ def tile_cover(doc: list[str], item: list[str], least: int) -> int:
         for k in range(n):
             in_doc[d + k] = in_item[i + k] = True
         covered += n
+
+
+def manifest(rows: list[tuple]) -> list[tuple]:
+    """Rows (doc_id, text, lang, source, n_chars, ...) with leaf, subroot, root, digest of the siblings, root as found, equal."""
+    def digest(parts):
+        return sha256("".join(parts).encode()).hexdigest()
+
+    def leaf(row, text):
+        return digest("-" if v is None else f"{len(str(v).encode())}:{v}" for v in (row[0], row[3], row[2], row[4], text))
+
+    def found(row):
+        if row[1] is None or row[0] is None or zlib.crc32(str(row[0]).encode()) % 5:
+            return row[1]
+        return re.sub("[A-Z]", lambda m: m[0].lower(), row[1])
+
+    def tree(nodes):
+        paths, at = [[] for _ in nodes], list(range(len(nodes)))
+        while len(nodes) > 1:
+            for k, i in enumerate(at):
+                a = i - i % 16
+                paths[k].append((nodes[a:i], nodes[i + 1:a + 16]))
+                at[k] = i // 16
+            nodes = [digest(nodes[i:i + 16]) for i in range(0, len(nodes), 16)]
+        return nodes[0], paths
+
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[3]].append((row, leaf(row, row[1])))
+    trees = []
+    for name in sorted(groups, key=lambda s: (s is not None, (s or "").encode())):
+        own = sorted(groups[name], key=lambda r: (r[0][0] is not None, r[0][0] or 0, bytes.fromhex(r[1])))
+        trees.append((own, *tree([x for _, x in own])))
+    if not trees:
+        return []
+    root, tops = tree([t[1] for t in trees])
+    out = []
+    for (own, subroot, paths), top in zip(trees, tops):
+        for (row, node), path in zip(own, paths):
+            now = leaf(row, found(row))
+            for before, after in path + top:
+                now = digest([*before, now, *after])
+            out.append((row[0], node, subroot, root, digest(x for pair in path + top for side in pair for x in side), now, now == root))
+    return sorted(out, key=str)
+
+
+def planted(i, text: str | None) -> str | None:
+    """The text with a period repeated to its end, where 10 divides the CRC-32 of its id."""
+    h, w = zlib.crc32(str(i).encode()), words(text, lower=False)
+    if i is None or h % 10 or not w:
+        return text
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return " ".join(w[k] if k < a else w[a + (k - a) % p] for k in range(n))
+
+
+def runs(w: list) -> list[tuple[int, int, int]]:
+    """(start, length, smallest period) of the longest stretches of at least 24 words and three periods."""
+    found: dict = {}
+    for q in range(1, len(w) // 3 + 1):
+        i = 0
+        while i + q < len(w):
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(24, 3 * q):
+                found.setdefault((i, j + q - i), q)
+            i = j + 1
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))

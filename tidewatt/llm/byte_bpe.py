@@ -194,51 +194,55 @@ def _join(name: str):
     return run
 
 
-def _bounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bounds(chunk: int, overlap: int):
     """Pre-token boundaries of each chunk in the two overlaps, counted from where the overlap begins."""
-    for part in slices(batches, "bytes"):
-        data, offsets = raw(part.column("bytes"))
-        start = pre_tokens(data, offsets)
-        edges = np.searchsorted(start, offsets)
-        head, tail = [], []
-        for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
-            own = start[a:b] - offsets[i]
-            head.append(own[own < OVERLAP])
-            tail.append(own[(own >= CHUNK) & (own < CHUNK + OVERLAP - MARGIN)] - CHUNK)
-        yield pa.RecordBatch.from_arrays(
-            [part.column("row"), part.column("chunk"), pa.array(head, pa.list_(pa.int64())), pa.array(tail, pa.list_(pa.int64()))],
-            ["row", "chunk", "head", "tail"])
-
-
-def _chunks(long: DataFrame) -> DataFrame:
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "bytes"):
+            data, offsets = raw(part.column("bytes"))
+            start = pre_tokens(data, offsets)
+            edges = np.searchsorted(start, offsets)
+            head, tail = [], []
+            for i, (a, b) in enumerate(zip(edges[:-1], edges[1:])):
+                own = start[a:b] - offsets[i]
+                head.append(own[own < overlap])
+                tail.append(own[(own >= chunk) & (own < chunk + overlap - MARGIN)] - chunk)
+            kind = pa.list_(pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [part.column("row"), part.column("chunk"), pa.array(head, kind), pa.array(tail, kind)], ["row", "chunk", "head", "tail"])
+
+    return run
+
+
+def chunked(long: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """(row, doc_id, chunk, bytes) of long texts; stored in small row groups, so that one text is read by many tasks."""
-    count = F.expr(f"cast(ceil((octet_length(text) - {OVERLAP}) / {CHUNK}) as bigint)")
+    count = F.expr(f"cast(ceil((octet_length(text) - {overlap}) / {chunk}) as bigint)")
     cut = F.transform(F.sequence(F.lit(0).cast("long"), count - 1), lambda c: F.struct(c.alias("chunk"), F.substring(
-        F.col("text").cast("binary"), (c * CHUNK + 1).cast("int"), F.lit(CHUNK + OVERLAP)).alias("bytes")))
+        F.col("text").cast("binary"), (c * chunk + 1).cast("int"), F.lit(chunk + overlap)).alias("bytes")))
     rows = long.select(F.monotonically_increasing_id().alias("row"), "doc_id", cut.alias("cut")).select("row", "doc_id", F.inline("cut"))
     return stored(rows, "chunks", **{"parquet.block.size": 8 << 20})
 
 
-def stitched(chunks: DataFrame) -> DataFrame:
+def stitched(chunks: DataFrame, chunk: int, overlap: int) -> DataFrame:
     """(row, chunk, piece, open, begin, size): the part of each chunk that its piece has; stored.
 
     Pieces from the first edge without a common boundary on are one, with the number of the chunk before that edge.
     """
     bounds = stored(chunks.select("row", "chunk", "bytes").mapInArrow(
-        _bounds, "row long, chunk long, head array<long>, tail array<long>"), "bounds")
+        _bounds(chunk, overlap), "row long, chunk long, head array<long>, tail array<long>"), "bounds")
     ordered, whole = Window.partitionBy("row").orderBy("chunk"), Window.partitionBy("row")
     rows = bounds.withColumn("next", F.lead("head").over(ordered))
     rows = rows.withColumn("stitch", F.array_min(F.array_intersect("tail", "next")))
     rows = rows.withColumn("lost", F.min(F.when(F.col("next").isNotNull() & F.col("stitch").isNull(), F.col("chunk"))).over(whole))
     rows = rows.withColumn("before", F.lag("stitch").over(ordered))
-    rows = rows.withColumn("begin", F.expr(f"case when chunk = 0 then 0 when chunk > lost then {OVERLAP} else before end"))
+    rows = rows.withColumn("begin", F.expr(f"case when chunk = 0 then 0 when chunk > lost then {overlap} else before end"))
     rows = rows.withColumn("size", F.expr(
-        f"case when chunk >= lost or next is null then {CHUNK + OVERLAP} else {CHUNK} + stitch - begin end"))
+        f"case when chunk >= lost or next is null then {chunk + overlap} else {chunk} + stitch - begin end"))
     return stored(rows.select("row", "chunk", F.least("chunk", "lost").alias("piece"),
                               F.coalesce(F.col("chunk") >= F.col("lost"), F.lit(False)).alias("open"), "begin", "size"), "stitches")
 
 
-def encoded(docs: DataFrame, ranks: str | None = None) -> DataFrame:
+def encoded(docs: DataFrame, ranks: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
     """(doc_id, ids): the ids of every whole text as little-endian unsigned 32-bit numbers.
 
     ranks is a file of tokens and ranks, read by the driver and sent along (1 MB). A null or empty text has no id.
@@ -252,12 +256,12 @@ def encoded(docs: DataFrame, ranks: str | None = None) -> DataFrame:
         return T.StructType([*(T.StructField(c, T.LongType()) for c in extra), doc_id, T.StructField(last, T.BinaryType())])
 
     docs = docs.select("doc_id", "text")
-    is_long = F.coalesce(F.octet_length("text") > CHUNK + OVERLAP, F.lit(False))
+    is_long = F.coalesce(F.octet_length("text") > chunk + overlap, F.lit(False))
     short = docs.filter(~is_long).select("doc_id", F.col("text").cast("binary").alias("bytes"))
     short = short.mapInArrow(_encode(known, ["doc_id"]), schema())
 
-    chunks = _chunks(docs.filter(is_long))
-    cuts = stitched(chunks)
+    chunks = chunked(docs.filter(is_long), chunk, overlap)
+    cuts = stitched(chunks, chunk, overlap)
 
     def parts(own: DataFrame) -> DataFrame:
         return chunks.join(small(own, "5"), ["row", "chunk"]).select(
