@@ -13,7 +13,8 @@ from tidewatt import schemas
 from tidewatt.functions.calendar import month_spine
 from tidewatt.operators.joins import missing_from
 from tidewatt.operators.reshape import unpivot_periods
-from tidewatt.sources.files import BAD_ROW
+from tidewatt.sources import lines
+from tidewatt.sources.lines import BAD_ROW
 from tidewatt.sources.seeds import KNOWN_FUEL_CODES
 
 # ---- column rules ----------------------------------------------------------------------------
@@ -295,49 +296,73 @@ def row_violations(rows: DataFrame, contract: Contract, ids: Sequence[str] = ("f
     return out.unionByName(cells.select(*ids, rule.alias("rule"), "value"))
 
 
-def check_files(spark: SparkSession, path: str, contract: Contract, file_name: str) -> DataFrame:
-    """All violations of the files under `path`: (file_name, rule, value).
-
-    Files are read with their header as a row: a file must hold the expected header exactly
-    once, every row the right number of columns, and the file an expected number of rows.
-    """
-    names = list(contract.columns.values())
-    schema = schemas.text_schema(names).add(BAD_ROW, "string")
-    raw = (
-        spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_ROW).option("columnPruning", False)
-        .option("recursiveFileLookup", True).csv(path)
-        .select("*", "_metadata.file_name", "_metadata.file_size")
-    )
-    period = F.regexp_extract("file_name", file_name, 1)
+def _contract_lines(spark: SparkSession, path: str, contract: Contract, file_name: str) -> DataFrame:
+    """Parsed lines with the period of their file, and whether a line is the expected header."""
+    rows = lines.parsed(lines.scan_lines(spark, path), list(contract.columns.values()))
     is_header = F.lit(True)
     for source, target in contract.columns.items():
         is_header = is_header & F.col(target).eqNullSafe(F.lit(source))
-    tagged = raw.withColumn("period", period).withColumn("_header", is_header)
-    body = tagged.filter(~F.col("_header"))
-    width = body.filter(F.col(BAD_ROW).isNotNull()).select(
-        "file_name", F.lit("columns").alias("rule"), F.col(BAD_ROW).alias("value")
-    )
-    rows = row_violations(body.filter(F.col(BAD_ROW).isNull()), contract)
-    files = tagged.groupBy("file_name", "period").agg(
-        F.count(F.when(F.col("_header"), 1)).alias("_headers"),
-        F.count(F.when(~F.col("_header"), 1)).alias("_rows"),
-        F.max("file_size").alias("_bytes"),
-    )
-    limits = [
-        ("file_name", F.col("period") == "", F.col("file_name")),
-        ("header", F.col("_headers") != 1, F.col("_headers")),
+    part = "file_name" if file_name.startswith("^") else "file_path"
+    return rows.withColumn("period", F.regexp_extract(part, file_name, 1)).withColumn("_header", is_header & F.col(BAD_ROW).isNull())
+
+
+def _row_rules(contract: Contract) -> list[tuple[str, Column, Column]]:
+    """(rule, condition of a bad line, value), for lines that are no header."""
+    body = ~F.col("_header")
+    whole = body & F.col(BAD_ROW).isNull()
+    found = [("columns", body & F.col(BAD_ROW).isNotNull(), F.col(BAD_ROW))]
+    found += [(name, whole & bad, F.col(column)) for name, column, bad in contract.rules]
+    if contract.cells:
+        found += [(f"tp{i}", whole & _no_number_or_null(f"tp{i}"), F.col(f"tp{i}")) for i in range(1, schemas.PERIODS + 1)]
+    return found
+
+
+def _limits(contract: Contract) -> list[tuple[str, Column, Column]]:
+    """(rule, condition of a bad file, value) over the counts of a file."""
+    return [
+        ("file_name", F.col("period") == "", F.element_at(F.split("file_path", "/"), -1)),
+        ("header", (F.col("_headers") != 1) | ~F.coalesce(F.col("_head.line") == 1, F.lit(False)), F.col("_headers")),
         ("row_count", _outside("_rows", contract.min_rows, contract.max_rows), F.col("_rows")),
-        ("file_size", _outside("_bytes", contract.min_bytes, contract.max_bytes), F.col("_bytes")),
+        ("file_size", _outside("file_size", contract.min_bytes, contract.max_bytes), F.col("file_size")),
     ]
-    per_file = files.select(
-        "file_name",
-        F.explode(F.array_compact(F.array(*[
-            F.when(bad, F.struct(F.lit(name).alias("rule"), value.cast("string").alias("value")))
-            for name, bad, value in limits
-        ]))).alias("_f"),
-    ).select("file_name", "_f.rule", "_f.value")
-    return per_file.unionByName(width).unionByName(rows)
+
+
+def file_report(spark: SparkSession, path: str, contract: Contract, file_name: str) -> DataFrame:
+    """(file_name, period, rule, violations, line, value) of the files under `path`: how often each rule is broken,
+    and the first line that does, by its number in the file; for a rule on the whole file line is null.
+
+    One scan and one aggregate per file, whatever the number of rules and of bad lines. A file must have the expected
+    header as its first line and nowhere else, every other line the right number of columns, and the file an expected
+    number of lines and bytes. A file without any line is not seen. file_name is searched in the name of a file if it
+    begins with ^, else in its path; its first group is the period.
+    """
+    rules = _row_rules(contract)
+    counts = {"_headers": F.col("_header"), "_rows": ~F.col("_header")} | {f"_n_{n}": bad for n, bad, _ in rules}
+    firsts = {"_head": (F.col("_header"), F.lit("")), **{f"_first_{n}": (bad, value) for n, bad, value in rules}}
+    files = lines.per_file(
+        _contract_lines(spark, path, contract, file_name), "period", counts=counts, firsts=firsts, most=["file_size"])
+    found = [F.when(F.col(f"_n_{n}") > 0, _finding(n, F.col(f"_n_{n}"), F.col(f"_first_{n}.line"), F.col(f"_first_{n}.value")))
+             for n, _, _ in rules]
+    found += [F.when(bad, _finding(n, F.lit(1), F.lit(None), value)) for n, bad, value in _limits(contract)]
+    name = F.element_at(F.split("file_path", "/"), -1).alias("file_name")
+    return files.select(name, "period", F.explode(F.array_compact(F.array(*found))).alias("_f")).select("file_name", "period", "_f.*")
+
+
+def _finding(rule: str, violations: Column, line: Column, value: Column) -> Column:
+    return F.struct(F.lit(rule).alias("rule"), violations.cast("long").alias("violations"), line.cast("long").alias("line"),
+                    value.cast("string").alias("value"))
+
+
+def check_files(spark: SparkSession, path: str, contract: Contract, file_name: str) -> DataFrame:
+    """Every single violation of the files under `path`: (file_name, rule, value).
+
+    For files of which file_report tells that they are bad; lists their lines by a second scan.
+    """
+    whole = file_report(spark, path, contract, file_name).filter("line is null")
+    rows = _contract_lines(spark, path, contract, file_name)
+    found = [F.when(bad, F.struct(F.lit(n).alias("rule"), value.alias("value"))) for n, bad, value in _row_rules(contract)]
+    rows = rows.select("file_name", F.explode(F.array_compact(F.array(*found))).alias("_f")).select("file_name", "_f.*")
+    return whole.select("file_name", "rule", "value").unionByName(rows)
 
 
 def _outside(column: str, low, high) -> Column:

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from tidewatt import schemas
 from tidewatt.functions.casts import null_tokens, strip_nul
 from tidewatt.schemas import MTIME
-
-BAD_ROW = "_bad_row"
+from tidewatt.sources.lines import BAD_ROW
 
 
 def scan_csv(
