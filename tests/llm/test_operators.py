@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import math
+import os
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -224,19 +226,56 @@ def test_training_order(spark, docs, rows, nothing, tokenizer, workdir):
     for n in (1, 2, 3, 5, 100, 4097):
         s = training_order.slots(np.arange(n), n, 7)
         assert sorted(s) == list(range(n)) and (training_order.slots(s, n, 7, True) == np.arange(n)).all()
-    written = training_order.materialize(docs, f"{workdir}/order", key=1, length=64, stride=32)
-    got = written.collect()
+    path = f"{workdir}/order"
+    got = training_order.materialize(docs, path, key=1, length=64, stride=32).collect()
     assert sorted(r.slot for r in got) == list(range(len(got))) and all(r.shard == r.slot // 32 and len(r.record) == 128 for r in got)
     text = {r[0]: r[1] for r in rows}
+    parts = {i: -(-len(ids_of(tokenizer, t)) // 64) for i, t in text.items()}
+    assert sorted((r.doc_id, r.part) for r in got) == sorted((i, k) for i, n in parts.items() for k in range(n))
     for r in got:
         want = ids_of(tokenizer, text[r.doc_id])[64 * r.part:64 * r.part + 64]
         assert (np.frombuffer(r.record, "<u2")[:r.length] == want).all() and r.length == len(want)
-    assert [r.slot for r in training_order.resume(spark, f"{workdir}/order", 40).collect()] == list(range(40, len(got)))
-    order = [r.doc_id for r in sorted(got, key=lambda r: r.slot)]
+    by_slot = {r.slot: r for r in got}
+    order = [by_slot[i].doc_id for i in range(len(got))]
     assert order != sorted(order)
+    # The shards are raw files of one record size, and a reader goes on at any slot, by its byte.
+    kind = training_order.layout(spark, path)
+    size = training_order.record_type(*kind[:2]).itemsize
+    files = sorted(p for p in os.listdir(path) if p.endswith(".bin") and not p.startswith("."))
+    assert files == [training_order.shard_name(i) for i in range(-(-len(got) // 32))]
+    assert [os.path.getsize(f"{path}/{f}") // size for f in files] == [min(32, len(got) - 32 * i) for i in range(len(files))]
+    for at in (0, 1, 31, 32, 40, len(got) - 1, len(got)):
+        rest = list(training_order.resume(path, kind, at))
+        assert [s for s, *_ in rest] == list(range(at, len(got)))
+        assert all((by_slot[s].doc_id, by_slot[s].part) == (d, p) and by_slot[s].record[:2 * len(x)] == x.tobytes() for s, d, p, x in rest)
+        assert sorted(r.slot for r in training_order.records(spark, path, at).collect()) == list(range(at, len(got)))
+    for r in training_order.digest(training_order.records(spark, path), *kind).collect():
+        with open(f"{path}/{training_order.shard_name(r.shard)}", "rb") as f:
+            f.seek(r.offset)
+            one = np.frombuffer(f.read(size), dtype=training_order.record_type(*kind[:2]))[0]
+        assert one["doc_id"] == r.doc_id and zlib.crc32(one["ids"][:r.length].astype("<u4").tobytes()) == r.ids_crc32
     assert training_order.materialize(nothing, f"{workdir}/none", key=1).count() == 0
 
 
+def test_training_order_sends_in_parts(spark, docs, tokenizer, rows, workdir, monkeypatch):
+    """Records that are sent on in many small parts, wide ids, a null id and repeated texts make the same shards."""
+    some = [(None, "a b c"), (1, "x " * 5000), (2, ""), (3, None), (4, "a b c")]
+    out = [training_order.materialize(spark.createDataFrame(some, "doc_id long, text string").withColumn("source", F.lit("s")).coalesce(1),
+                                      f"{workdir}/{i}", key=5, length=16, stride=64).collect() for i in range(2)]
+    assert sorted(map(tuple, out[0]), key=str) == sorted(map(tuple, out[1]), key=str) and any(r.doc_id is None for r in out[0])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([None, 1]), pa.array([0, 1]), pa.array([np.arange(9, dtype="<u4").tobytes(), np.arange(100, dtype="<u4").tobytes()], pa.binary())], ["doc_id", "base", "ids"])
+    whole = [x for b in training_order._blobs("<u4", 10, 11, 3, 4)(iter([batch])) for x in b.to_pylist()]
+    monkeypatch.setattr(training_order, "SENT_BYTES", 100)
+    split = [x for b in training_order._blobs("<u4", 10, 11, 3, 4)(iter([batch])) for x in b.to_pylist()]
+
+    def opened(blobs):
+        kind = np.dtype([("place", "<u4"), ("record", training_order.record_type("<u4", 10))])
+        return sorted((x["shard"], r.tobytes()) for x in blobs for r in np.frombuffer(pa.decompress(x["blob"], x["size"], codec="zstd", asbytes=True), kind))
+
+    assert len(split) > len(whole) and opened(split) == opened(whole) and len(opened(whole)) == 11
+
+
 def test_pseudonyms(spark, docs, rows, nothing):
     f = pseudonyms.Feistel(b"key")
     text = ("call +1 (469) 555-2068 or 469-555-2068, 68.166.189.212. card 4539 1488 0343 6467 4539148803436467 16.1.2.3 on 2024-02-29 or "
@@ -302,6 +341,24 @@ def test_language_id(spark, nothing):
     assert empty[0] == [] and {r.lang_pred for r in language_id.identify(docs, empty).collect()} == {"und"}
 
 
+def test_language_of_short_and_unusual_texts(spark):
+    """Any letter of any plane gives a learned language; no letter, whatever else there is, none."""
+    rows = [(i, x, lang) for i, (x, lang) in enumerate([("the of and a", "en"), ("नमस्ते दुनिया", "hi"), ("สวัสดีชาวโลก ก็", "th"), ("𐐀𐐁𐐂 𐐃𐐄", "ds")] * 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+    assert model[0] == ["ds", "en", "hi", "th"]
+    lettered = ["a", "A", "é", "日", "ß", "ǆ", "𐐀", "1a", "a!", "नी", "ก็", "ª", "İ", "the", "नमस्ते", "สวัสดี", "𐐀𐐁𐐂"]
+    bare = ["", " ", "😀 😀", "123", "!?", "́", "्", "\n", "٣", "½", "①", None]
+    asked = spark.createDataFrame(list(enumerate(lettered + bare)), "doc_id long, text string")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in language_id.identify(asked, model).collect()}
+    assert all(got[i][0] in model[0] and 0 <= got[i][1] <= 1 for i in range(len(lettered))), got
+    assert all(got[len(lettered) + i] == ("und", 0.0) for i in range(len(bare))), got
+    assert [got[lettered.index(x)][0] for x in ("the", "नमस्ते", "สวัสดี", "𐐀𐐁𐐂")] == ["en", "hi", "th", "ds"]
+    # A text counts alike alone and among others.
+    alone = {i: language_id.identify(asked.filter(F.col("doc_id") == i), model).first() for i in (0, 9, 11)}
+    assert all((r.lang_pred, pytest.approx(r.score)) == got[i] for i, r in alone.items())
+
+
 def test_language_vectors_are_the_product_of_counts(spark):
     """The cosine by counts equals that of bundling the bound letters one trigram at a time."""
     rows = language_rows(9)
@@ -310,7 +367,7 @@ def test_language_vectors_are_the_product_of_counts(spark):
 
     def bundle(text):
         base, kind = language_id._letters().astype(int), language_id._classes()
-        codes = [int(kind[min(ord(c), 0x10000)]) for c in text.lower() + " "]
+        codes = [int(kind[ord(c)]) for c in f" {text.lower()} "]
         return sum(np.roll(base[a], 2) * np.roll(base[b], 1) * base[c] for a, b, c in zip(codes, codes[1:], codes[2:]))
 
     for r in language_id.identify(docs, (langs, prototypes)).collect():

@@ -60,8 +60,10 @@ def op4_line_dedup(spark, sf_dir):
 @query
 def op6_training_order(spark, sf_dir):
     """Place and digest of every sequence, from the shards as written."""
-    docs = table(spark, sf_dir, "documents")
-    return training_order.digest(training_order.materialize(docs, training_order.scratch(spark), key=20240501))
+    docs, path = table(spark, sf_dir, "documents"), training_order.scratch(spark)
+    rows = training_order.materialize(docs, path, key=20240501)
+    kind = training_order.layout(spark, path) or ("<u2", training_order.LENGTH, training_order.STRIDE)
+    return training_order.digest(rows, *kind)
 
 
 @query

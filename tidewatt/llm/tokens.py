@@ -9,6 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -140,25 +141,33 @@ def _encoder(definition: str, dtype: str) -> Encoder:
     return Encoder(definition, dtype)
 
 
-def _encode(definition, dtype: str, end_id: int):
+def _encode(definition, dtype: str, end_id: int, length: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(definition.value, dtype)
         end = np.asarray([end_id], dtype=dtype).tobytes()
-        size = len(end)
+        size, seen = len(end), 0
         for part in slices(batches):
             ids = [x + end for x in encoder.encode(part.column("text").to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("queue"), pa.array([len(x) // size for x in ids], pa.int64()),
-                 pa.array(ids, pa.binary())], ["doc_id", "queue", "n_tokens", "ids"])
+            n = np.array([len(x) // size for x in ids], dtype=np.int64)
+            columns = [part.column("doc_id"), part.column("queue"), pa.array(n), pa.array(ids, pa.binary())]
+            names = ["doc_id", "queue", "n_tokens", "ids"]
+            if length:
+                count = -(-n // length)
+                columns += [pa.array(count), pa.array(seen + np.cumsum(count) - count), pa.array(np.full(len(n), TaskContext.get().partitionId()), pa.int64())]
+                names += ["n", "first", "task"]
+                seen += int(count.sum())
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1) -> tuple[DataFrame, str]:
-    """(doc_id, queue, n_tokens, ids) and the type of an id in ids; stored.
+def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, length: int | None = None,
+              **options) -> tuple[DataFrame, str]:
+    """(doc_id, queue, n_tokens, ids) and the type of an id in ids; stored, with options of the writer.
 
     ids are those of the whole text, then end_id; a null or empty text has end_id alone. queue is the source as text,
-    empty where it is null. The tokenizer file is read by the driver and sent along, 2 MB.
+    empty where it is null. The tokenizer file is read by the driver and sent along, 2 MB. With length there are also
+    n, the sequences of so many ids, first, those of the rows before in the same task, and the task.
     """
     from tokenizers import Tokenizer
 
@@ -168,6 +177,6 @@ def tokenized(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1) ->
     dtype = "<u2" if largest < 1 << 16 else "<u4"
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text",
                        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("queue"))
-    rows = rows.mapInArrow(_encode(spark.sparkContext.broadcast(definition), dtype, end_id),
-                           "doc_id long, queue string, n_tokens long, ids binary")
-    return stored(rows, "tokens"), dtype
+    schema = "doc_id long, queue string, n_tokens long, ids binary" + ", n long, first long, task long" * bool(length)
+    rows = rows.mapInArrow(_encode(spark.sparkContext.broadcast(definition), dtype, end_id, length), schema)
+    return stored(rows, "tokens", **options), dtype

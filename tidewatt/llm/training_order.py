@@ -1,32 +1,45 @@
-"""Training-order materialisation: sequences in a keyed pseudo-random order, in fixed-stride shards.
-
-Every document's ids are cut into sequences of LENGTH ids, the last one filled up. Sequences are numbered without gaps
-by prefix sums over hash blocks; the number goes through a keyed Feistel permutation of the next even power of two,
-again while it falls outside (cycle walking), which gives each sequence one slot in 0..n-1. No sort decides the order:
-a slot is computed where the sequence is. Slots are then range-partitioned into shards of STRIDE records, each written
-in slot order with records of one size, so a reader that stopped at slot s resumes in shard s div STRIDE at byte
-(s mod STRIDE) * record size.
+"""Training-order materialisation: sequences in a keyed pseudo-random order, in raw shards of fixed stride.
+
+Every document's ids are cut into sequences of LENGTH ids, the last one filled up. The tasks that tokenise count their
+sequences as they go, so a sequence's number is its task's base plus that count, and only one count per task is put in
+order. The number goes through a keyed Feistel permutation of the next even power of two, again while it falls outside
+(cycle walking), which gives each sequence one slot in 0..n-1. No sort decides the order: a slot is computed where the
+sequence is, and one shuffle brings it to the task of its range of slots.
+
+A shard is a file of STRIDE records of one size, in slot order: a header of HEADER (document, part, ids that are no
+filling) and LENGTH ids. A reader that stopped at slot s goes on in shard s div STRIDE at byte (s mod STRIDE) * record
+size. A task writes a shard under the name of its attempt and renames it, so no reader sees half a shard and a lost
+task writes the same bytes again.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatt.llm.packing import before
-from tidewatt.llm.shared import power_of_two, scratch_path
+from tidewatt.llm.shared import scratch_path, small, stored
 from tidewatt.llm.tokens import tokenized
 from tidewatt.llm.words import mix
 
 LENGTH = 512
 STRIDE = 8192
 ROUNDS = 6
+HEADER = np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("length", "<u4")])
+# Stands for a null doc_id in a header.
+NO_ID = np.iinfo(np.int64).min
+# A task's records are sent on when they have so many bytes: bounds memory, and lets neighbours in a shard compress.
+SENT_BYTES = 48 << 20
+# Shards of one task, where there would be more tasks than this.
+MOST_TASKS = 50_000
 _U = np.uint64
 
 
@@ -49,73 +62,174 @@ def slots(index: np.ndarray, n: int, key: int, backward: bool = False) -> np.nda
     return out.astype(np.int64)
 
 
-def numbered(rows: DataFrame, count: str, key: str = "doc_id") -> DataFrame:
-    """rows with base: the sum of count over rows ahead, in order of a hash of key. rows must be stored.
+def record_type(dtype: str, length: int) -> np.dtype:
+    return np.dtype([*((n, HEADER[n]) for n in HEADER.names), ("ids", dtype, (length,))])
+
+
+def _blobs(dtype: str, length: int, n: int, key: int, stride: int):
+    """(shard, size, blob): the records of a task for a shard, each after its place in the shard, compressed."""
+    kind = np.dtype([("place", "<u4"), ("record", record_type(dtype, length))])
+
+    def packed(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+        records = np.zeros(sum(len(part) for _, part, _, _ in parts), dtype=kind)
+        slot, at = np.zeros(len(records), np.int64), 0
+        for doc_id, part, base, values in parts:
+            own = records["record"][at:at + len(part)]
+            padded = np.zeros(len(part) * length, dtype=dtype)
+            padded[:len(values)] = values
+            own["ids"] = padded.reshape(len(part), length)
+            own["doc_id"], own["part"] = doc_id, part
+            own["length"] = np.minimum(length, len(values) - length * (part - part[0]))
+            slot[at:at + len(part)] = base + part
+            at += len(part)
+        slot = slots(slot, n, key)
+        order = np.argsort(slot)
+        slot, records = slot[order], records[order]
+        records["place"] = slot % stride
+        edges = np.flatnonzero(np.diff(slot // stride, prepend=-1, append=-1))
+        rows = [(slot[a] // stride, (b - a) * kind.itemsize, records[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
+        for i in range(0, len(rows), 1000):
+            shard, size, data = zip(*rows[i:i + 1000])
+            data = [pa.compress(x, codec="zstd", asbytes=True) for x in data]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(shard, pa.int64()), pa.array(size, pa.int64()), pa.array(data, pa.binary())], ["shard", "size", "blob"])
 
-    Two levels of about the square root of the rows each.
-    """
-    blocks = power_of_two(math.isqrt(rows.count()), 16)
-    rows = rows.withColumn("_block", F.pmod(F.xxhash64(key), F.lit(blocks)))
-    totals = rows.groupBy("_block").agg(F.sum(count).alias("n"))
-    totals = totals.select("_block", before("n", Window.partitionBy().orderBy("_block")).alias("_ahead"))
-    rows = rows.withColumn("_inner", before(count, Window.partitionBy("_block").orderBy(key)))
-    return rows.join(F.broadcast(totals), "_block").withColumn("base", F.col("_ahead") + F.col("_inner")).drop(
-        "_block", "_ahead", "_inner")  # as many rows as blocks, the root of the rows
-
-
-def _records(dtype: str, length: int, n: int, key: int, stride: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts, held = [], 0
         for batch in batches:
-            docs, part, index, ids, sizes = [], [], [], [], []
             for doc_id, base, data in zip(*(batch.column(c) for c in ("doc_id", "base", "ids"))):
                 values = np.frombuffer(data.as_buffer(), dtype=dtype)
-                for i, at in enumerate(range(0, len(values), length)):
-                    own = values[at:at + length]
-                    docs.append(doc_id.as_py())
-                    part.append(i)
-                    index.append(base.as_py() + i)
-                    sizes.append(len(own))
-                    ids.append(np.pad(own, (0, length - len(own))).tobytes())
-            if docs:
-                slot = slots(np.array(index), n, key)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(slot // stride), pa.array(slot), pa.array(docs, pa.int64()), pa.array(part, pa.int64()),
-                     pa.array(sizes, pa.int64()), pa.array(ids, pa.binary())],
-                    ["shard", "slot", "doc_id", "part", "length", "record"])
+                base, count, at = base.as_py(), -(-len(values) // length), 0
+                while at < count:  # a very long document is sent on in parts as well
+                    take = min(count - at, max(1, SENT_BYTES // kind.itemsize))
+                    own = NO_ID if doc_id.as_py() is None else doc_id.as_py()
+                    parts.append((own, np.arange(at, at + take), base, values[at * length:(at + take) * length]))
+                    at, held = at + take, held + take * kind.itemsize
+                    if held >= SENT_BYTES:
+                        yield from packed(parts)
+                        parts, held = [], 0
+        if parts:
+            yield from packed(parts)
 
     return run
 
 
-RECORD = "shard long, slot long, doc_id long, part long, length long, record binary"
+def shard_name(shard: int) -> str:
+    return f"shard-{shard:010d}.bin"
+
+
+def _write(path: str, dtype: str, length: int, n: int, stride: int):
+    """One file per shard from its blobs, which come in order of the shard; (shard, records) of the files written."""
+    kind = np.dtype([("place", "<u4"), ("record", record_type(dtype, length))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = fs.FileSystem.from_uri(path)
+        blobs = ((s.as_py(), z.as_py(), b) for batch in batches for s, z, b in zip(*batch.columns))
+        for shard, own in groupby(blobs, key=lambda x: x[0]):
+            size = min(stride, n - shard * stride)
+            records, filled = np.zeros(size, dtype=kind["record"]), np.zeros(size, dtype=bool)
+            for _, bytes_, blob in own:
+                found = np.frombuffer(pa.decompress(blob.as_buffer(), decompressed_size=bytes_, codec="zstd"), dtype=kind)
+                records[found["place"]], filled[found["place"]] = found["record"], True
+            if not filled.all():
+                raise ValueError(f"shard {shard} lacks {int((~filled).sum())} of {size} records")
+            target, attempt = f"{folder}/{shard_name(shard)}", f"{folder}/.{shard_name(shard)}-{uuid.uuid4().hex}"
+            with store.open_output_stream(attempt) as out:
+                out.write(records.tobytes())
+            store.move(attempt, target)
+            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64()), pa.array([size], pa.int64())], ["shard", "records"])
+
+    return run
 
 
 def materialize(docs: DataFrame, path: str, key: int, tokenizer: str | None = None, end_id: int = 1,
                 length: int = LENGTH, stride: int = STRIDE) -> DataFrame:
-    """Write all sequences of docs below path and return them as read back: RECORD columns.
+    """Write all sequences of docs as shards below path, a folder that all executors reach, and return them: see records.
 
-    File part-<shard> holds the shard in slot order; a task that is lost is written again by Spark's committer, with the
-    same slots. A null or empty text is the end id alone; an empty table writes no
-    record. doc_id must be unique.
+    path is a local folder or a URI of a store that pyarrow.fs knows. A null or empty text is the end id alone; an
+    empty table writes no shard. doc_id must be unique; it may be null. The order depends on the key, the documents and
+    how the table is split into tasks; it is fixed once the shards are written. The folder also gets layout, a table of the
+    shards with the type and number of the ids of a record.
     """
-    rows, dtype = tokenized(docs, tokenizer, end_id)
-    rows = rows.select("doc_id", "ids", F.expr(f"(n_tokens + {length - 1}) div {length}").alias("n"))
-    n = rows.select(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    # Ids stay out of the windows; numbers join them by document.
-    numbers = numbered(rows.select("doc_id", "n"), "n").select("doc_id", "base")
-    records = rows.select("doc_id", "ids").join(numbers, "doc_id").mapInArrow(_records(dtype, length, n, key, stride), RECORD)
-    # The bounds of the ranges are known, so nothing has to be sampled: slot div stride is the partition.
-    ordered = records.repartitionById(max(1, -(-n // stride)), F.col("shard").cast("int")).sortWithinPartitions("slot")
-    ordered.write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(ordered.schema).parquet(path)
+    spark = docs.sparkSession
+    rows, dtype = tokenized(docs, tokenizer, end_id, length, compression="zstd")
+    tasks = rows.groupBy("task").agg(F.sum("n").alias("own"))
+    tasks = stored(tasks.select("task", before("own", Window.partitionBy().orderBy("task")).alias("ahead"), "own"), "tasks")
+    n = tasks.select(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
+    store, folder = fs.FileSystem.from_uri(path)
+    store.create_dir(folder, recursive=True)
+    shards = -(-n // stride)
+    together = max(1, -(-shards // MOST_TASKS))
+    placed = rows.join(small(tasks.select("task", "ahead"), "2"), "task").select(
+        "doc_id", (F.col("ahead") + F.col("first")).alias("base"), "ids")
+    blobs = placed.mapInArrow(_blobs(dtype, length, n, key, stride), "shard long, size long, blob binary")
+    # The bounds of the ranges are known, so nothing has to be sampled: a task has the shards of its range.
+    ranged = blobs.repartitionById(max(1, -(-shards // together)), F.expr(f"cast(shard div {together} as int)")).sortWithinPartitions("shard")
+    written = ranged.mapInArrow(_write(path, dtype, length, n, stride), "shard long, records long")
+    written.select("shard", "records", F.lit(dtype).alias("dtype"), F.lit(length).alias("length"), F.lit(stride).alias("stride")).write.parquet(f"{path}/layout")
+    return records(spark, path)
+
+
+def layout(spark, path: str) -> tuple[str, int, int] | None:
+    """(type of an id, ids of a record, records of a shard) of a folder of shards; None if it has no shard."""
+    found = spark.read.parquet(f"{path}/layout").select("dtype", "length", "stride").first()
+    return tuple(found) if found else None
+
+
+RECORD = "shard long, slot long, doc_id long, part long, length long, record binary"
 
 
-def resume(spark, path: str, slot: int) -> DataFrame:
-    """Records from a slot on, in order; earlier shards are skipped by file statistics."""
-    return spark.read.schema(RECORD).parquet(path).filter(F.col("slot") >= slot).orderBy("slot")
+def records(spark, path: str, slot: int = 0) -> DataFrame:
+    """RECORD columns of the sequences from a slot on, read from the shards; earlier shards are not opened."""
+    kind = layout(spark, path)
+    if not kind:
+        return spark.createDataFrame([], RECORD)
+    dtype, length, stride = kind
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, data in zip(batch.column("shard").to_pylist(), batch.column("content")):
+                skipped = max(0, slot - shard * stride)
+                found = np.frombuffer(data.as_buffer(), dtype=record_type(dtype, length))[skipped:]
+                if not len(found):
+                    continue
+                doc_id = pa.array(found["doc_id"], mask=found["doc_id"] == NO_ID)
+                at = shard * stride + skipped + np.arange(len(found))
+                ids = np.ascontiguousarray(found["ids"]).tobytes()
+                size = len(ids) // len(found)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(found), shard)), pa.array(at), doc_id, pa.array(found["part"].astype(np.int64)),
+                     pa.array(found["length"].astype(np.int64)), pa.array([ids[i:i + size] for i in range(0, len(ids), size)], pa.binary())],
+                    ["shard", "slot", "doc_id", "part", "length", "record"])
 
-def digest(records: DataFrame, dtype: str = "<u2") -> DataFrame:
-    """records with the byte offset in the shard and the CRC-32 of the unpadded ids as unsigned 32-bit numbers."""
+    # Spark passes over files by a filter on their name when it lists them.
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(path)
+    files = files.filter(F.col("_metadata.file_name") >= shard_name(slot // stride))
+    files = files.select(F.regexp_extract("path", r"shard-(\d+)\.bin$", 1).cast("long").alias("shard"), "content")
+    return files.mapInArrow(run, RECORD)
+
+
+def resume(path: str, kind: tuple[str, int, int], slot: int) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
+    """(slot, doc_id, part, ids) from a slot on, for one reader: seeks in the slot's shard, then reads shard by shard."""
+    dtype, length, stride = kind
+    record = record_type(dtype, length)
+    store, folder = fs.FileSystem.from_uri(path)
+    while True:
+        shard, name = slot // stride, f"{folder}/{shard_name(slot // stride)}"
+        if store.get_file_info(name).type != fs.FileType.File:
+            return
+        with store.open_input_file(name) as f:
+            f.seek(slot % stride * record.itemsize)
+            while data := f.read(64 * record.itemsize):
+                for one in np.frombuffer(data, dtype=record):
+                    yield slot, None if one["doc_id"] == NO_ID else int(one["doc_id"]), int(one["part"]), one["ids"][:one["length"]]
+                    slot += 1
+        if slot // stride == shard:
+            return  # the last shard is not full
+
+
+def digest(rows: DataFrame, dtype: str, length: int, stride: int) -> DataFrame:
+    """records with the byte where a record begins in its shard, and the CRC-32 of its ids as unsigned 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -123,8 +237,8 @@ def digest(records: DataFrame, dtype: str = "<u2") -> DataFrame:
                    for r, n in zip(batch.column("record"), batch.column("length").to_pylist())]
             yield batch.drop_columns(["record"]).append_column("ids_crc32", pa.array(crc, pa.int64()))
 
-    offset = F.expr(f"(slot % {STRIDE}) * length(record)").alias("offset")
-    found = records.select("doc_id", "part", "length", "slot", "shard", offset, "record")
+    offset = F.expr(f"(slot % {stride}) * {record_type(dtype, length).itemsize}").alias("offset")
+    found = rows.select("doc_id", "part", "length", "slot", "shard", offset, "record")
     return found.mapInArrow(run, "doc_id long, part long, length long, slot long, shard long, offset long, ids_crc32 long")
 
 
