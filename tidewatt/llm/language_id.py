@@ -10,6 +10,7 @@ whatever the corpus. A text's vector is the product of its trigram counts and th
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,6 +27,8 @@ DIMENSIONS = 1024
 SEED = 20_240_501
 # Letter classes: 0 for all that is no letter, 1-26 for a-z, the rest shared by other letters by code point.
 CLASSES = 64
+_MARK = 255
+_FOLD = 1021
 CODES = CLASSES ** 3
 # Texts of one matrix product, and the most distinct trigrams of one.
 BLOCK = 256
@@ -34,15 +37,12 @@ UNDETERMINED = "und"
 
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
-    """Class of every code point of the basic plane; the letters beyond share one class."""
-    points = [chr(c) for c in range(0x10000)]
-    table = np.zeros(0x10001, dtype=np.uint8)
-    for c, x in enumerate(points):
-        if "a" <= x <= "z":
-            table[c] = c - 96
-        elif x.isalpha():
-            table[c] = 27 + c % (CLASSES - 28)
-    table[-1] = CLASSES - 1
+    """Class of every code point: letters of all planes have one, marks are _MARK, all others 0."""
+    kinds = np.frombuffer("".join(map(unicodedata.category, map(chr, range(0x110000))))[::2].encode(), dtype=np.uint8)
+    points = np.arange(0x110000)
+    table = np.where(kinds == ord("L"), 27 + points % (CLASSES - 27), 0).astype(np.uint8)
+    table[ord("a"):ord("z") + 1] = np.arange(1, 27)
+    table[kinds == ord("M")] = _MARK
     return table
 
 
@@ -59,22 +59,38 @@ def vectors(codes: np.ndarray) -> np.ndarray:
 
 
 def _trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, code) of every trigram that holds a letter, and whether a text has a letter."""
-    texts = [t or "" for t in texts]
-    lowered = [t.lower() for t in texts]  # a letter may become two code points
-    points = np.frombuffer("\0".join([*lowered, ""]).encode("utf-32-le"), dtype=np.uint32)
-    kind = _classes()[np.minimum(points, 0x10000)]
-    ends = np.cumsum([len(t) + 1 for t in lowered])
-    # A run of other characters counts as one gap.
+    """(text, code) of every trigram that holds a letter, and whether a text has a letter.
+
+    A text has a gap before and after it, so a single letter gives a trigram. A combining mark after a letter makes one
+    letter with it, of a class that both decide; elsewhere it counts as a gap.
+    """
+    lowered = [(t or "").lower() for t in texts]  # a letter may become two code points
+    points = np.frombuffer("\0".join(["", *lowered, ""]).encode("utf-32-le"), dtype=np.uint32)
+    kind = _classes()[points].astype(np.int64)
+    text = np.repeat(np.arange(-1, len(texts)), [1, *(len(t) + 1 for t in lowered)])
+    # The marks of a letter are folded into it, whatever their number.
+    mark = kind == _MARK
+    if mark.any():
+        base = np.maximum.accumulate(np.where(mark, 0, np.arange(len(kind))))
+        carried = mark & (kind[base] > 0)
+        weight = np.bincount(base[carried], weights=points[carried] % _FOLD, minlength=len(kind)).astype(np.int64)
+        marked = np.flatnonzero(weight)
+        kind[marked] = 27 + (kind[marked] + weight[marked]) % (CLASSES - 27)
+        kind[mark] = 0
+        kept = ~carried
+        kind, points, text = kind[kept], points[kept], text[kept]
+    # A run of other characters counts as one gap, within a text and at its ends.
     keep = np.ones(len(kind), dtype=bool)
-    keep[1:] = (kind[1:] != 0) | (kind[:-1] != 0) | (points[1:] == 0)
-    text = np.repeat(np.arange(len(texts)), np.diff(ends, prepend=0))[keep]
-    kind = kind[keep].astype(np.int64)
+    keep[1:] = (kind[1:] != 0) | (kind[:-1] != 0)
+    # A separator that follows a gap would go with it; the gap then stands for both texts' ends.
+    kind, text = kind[keep], text[keep]
     code = kind[:-2] * CLASSES ** 2 + kind[1:-1] * CLASSES + kind[2:]
-    # The separator ends a text as a gap does.
-    inside = (text[:-2] == text[2:]) & (code != 0)
-    letters = np.bincount(text, weights=kind > 0, minlength=len(texts)) > 0
-    return text[:-2][inside], code[inside], letters
+    # The middle letter, or a letter at either side of a gap, tells whose the trigram is.
+    of = np.where(kind[1:-1] > 0, text[1:-1], np.where(kind[:-2] > 0, text[:-2], text[2:]))
+    across = (kind[1:-1] == 0) & (kind[:-2] > 0) & (kind[2:] > 0) & (text[:-2] != text[2:])
+    inside = (code != 0) & ~across
+    letters = np.bincount(text[text >= 0], weights=kind[text >= 0] > 0, minlength=len(texts)) > 0
+    return of[inside], code[inside], letters
 
 
 def _blocks(part: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -106,6 +122,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
 
     Equal weight to languages of any size. A language whose texts hold no letter is not learned.
     """
+    prepare(docs.sparkSession)
     rows = docs.filter("lang is not null and text is not null").select("lang", "text")
     counted = rows.mapInArrow(_count, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     table = stored(counted, "trigrams").toArrow()
@@ -135,10 +152,10 @@ def _predict(model):
                     counts = np.bincount(text[own] * width + column[own] - at, minlength=n * width)
                     bundle += counts.reshape(n, width).astype(np.float32) @ vectors(used[at:at + width]).astype(np.float32)
                 length = np.linalg.norm(bundle, axis=1)
-                known = letters & (length > 0) & bool(langs)
+                known = letters & bool(langs)
                 pred, score = np.full(n, UNDETERMINED, dtype=object), np.zeros(n)
                 if known.any():
-                    cosine = bundle[known] @ prototypes.T / length[known, None]
+                    cosine = bundle[known] @ prototypes.T / np.maximum(length[known, None], 1e-9)
                     pred[known] = np.array(langs, dtype=object)[cosine.argmax(axis=1)]
                     score[known] = np.clip(cosine.max(axis=1), 0, 1)
                 kept = [c for c in block.schema.names if c != "_text"]
