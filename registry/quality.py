@@ -13,6 +13,8 @@ from tidewatt.functions.calendar import yyyymm
 from tidewatt.operators.joins import compare
 from tidewatt.plans import core, marts, staging
 from tidewatt.plans import quality as q
+from tidewatt.session import scratch_path
+from tidewatt.sources import sinks
 
 
 @query(
@@ -245,12 +247,45 @@ def generation_contract(spark, sf):
        SELECT 'events.range_value', 'warn', (SELECT count(*) FROM events WHERE value < 1 OR value > 200), 'warn'""",
 )
 def check_report(spark, sf):
-    checks = [
-        q.Check("lineitem.unique", q.duplicate_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"])),
-        q.Check("orders.unique", q.duplicate_keys(table(spark, sf, "orders"), ["o_orderkey"])),
-        q.Check("events.range_value", q.out_of_range(table(spark, sf, "events"), "value", 1, 200), "warn"),
-    ]
-    return q.run_checks(spark, checks)
+    unique = lambda name, *columns: q.TableRules(name, table(spark, sf, name), keys=[q.Key("unique", columns)])
+    value = q.range_rule("value", 1, 200, "warn")
+    return q.run_checks(spark, [
+        unique("lineitem", "l_orderkey", "l_linenumber"), unique("orders", "o_orderkey"),
+        q.TableRules("events", table(spark, sf, "events"), [value])])
+
+
+_RULES_SQL = """SELECT unnest([
+    {'check': 'orders.not_null', 'severity': 'error', 'violations': count(*) FILTER (WHERE o_clerk IS NULL OR o_orderkey IS NULL)},
+    {'check': 'orders.accepted_o_orderstatus', 'severity': 'warn', 'violations': count(*) FILTER (WHERE o_orderstatus NOT IN ('F', 'O'))},
+    {'check': 'orders.range_o_totalprice', 'severity': 'error', 'violations': count(*) FILTER (WHERE o_totalprice < 1000 OR o_totalprice > 300000)}
+  ], recursive := true) FROM (SELECT *, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderpriority END AS o_clerk FROM orders)"""
+_STATUS_SQL = "SELECT *, CASE WHEN violations = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END AS status"
+
+
+def _order_rules(spark, sf, keys=()):
+    orders = table(spark, sf, "orders").withColumn("o_clerk", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderpriority")))
+    return q.TableRules("orders", orders, [
+        q.not_null_rule(["o_clerk", "o_orderkey"]), q.accepted_rule("o_orderstatus", ["F", "O"], "warn"),
+        q.range_rule("o_totalprice", 1000, 300_000)], keys)
+
+
+@query(
+    "rule_vector",
+    f"""{_STATUS_SQL} FROM ({_RULES_SQL} UNION ALL
+        SELECT 'orders.unique', 'error', (SELECT count(*) FROM (SELECT o_orderkey FROM orders GROUP BY 1 HAVING count(*) > 1)) UNION ALL
+        SELECT 'orders.one_per_day', 'warn', (SELECT count(*) FROM (SELECT o_custkey, o_orderdate FROM orders GROUP BY ALL HAVING count(*) > 1)))""",
+)
+def rule_vector(spark, sf):
+    """Row rules and two keys of a table by one scan."""
+    keys = [q.Key("unique", ["o_orderkey"]), q.Key("one_per_day", ["o_custkey", "o_orderdate"], "warn")]
+    return q.run_checks(spark, [_order_rules(spark, sf, keys)])
+
+
+@query("rules_while_writing", f"{_STATUS_SQL} FROM ({_RULES_SQL})")
+def rules_while_writing(spark, sf):
+    """The rules counted by the write of the table itself."""
+    path = scratch_path(spark, "ruled")
+    return q.with_status(_order_rules(spark, sf).written(lambda df: sinks.replace_all(df, path)))
 
 
 @query(

@@ -115,3 +115,41 @@ def test_windows_are_split_below_the_series(spark):
     by_series = [x for x in text.splitlines() if "hashpartitioning(l_suppkey" in x and "_day" not in x]
     # Only the table of one row per series and day is grouped by the series.
     assert len(by_series) == 1
+
+
+def scans(df):
+    return [x for x in plan(df).splitlines() if "FileScan" in x]
+
+
+def test_file_report_reads_a_file_once(spark, workdir):
+    from tidewatt import schemas
+    from tidewatt.plans import quality
+
+    spark.range(300).selectExpr("concat('2024-01-01,1,N,', id) as value").coalesce(1).write.text(f"{workdir}/t")
+    df = quality.file_report(spark, f"{workdir}/t", quality.generation_contract(), r"^part-(\d+)-")
+    # The lines once, and the listing of files for those that are empty.
+    assert len([x for x in scans(df) if "FileScan text" in x]) == 1 and plan(df).count("from_csv") == 1
+    assert schemas.PERIODS == 50
+
+
+def test_one_scan_per_table_of_rules(spark):
+    import registry.quality as r
+
+    for name in ("rule_vector", "check_report"):
+        text = plan(contract.queries()[name](spark, SF_DIR))
+        for table in ("orders", "lineitem", "events"):
+            assert text.count(f"{table}.parquet") <= 1
+        assert "BroadcastNestedLoopJoin" not in text and "orders.parquet" in text
+    assert r.q.TableRules
+
+
+def test_rules_of_every_table_scan_it_once(spark, tmp_path):
+    from tidewatt.plans import build, quality
+
+    spark.range(10).selectExpr("id as plant_id", "'s' as site_code", "id as gen_code", "'f' as fuel_type").write.parquet(f"{tmp_path}/p")
+    df = spark.read.parquet(f"{tmp_path}/p")
+    rules = quality.TableRules("dim_plant", df, [quality.not_null_rule(build.NOT_NULL["dim_plant"])],
+                               [quality.Key("unique", ["plant_id"]), quality.Key("unique_gen_code", ["gen_code"], "warn")])
+    assert len(scans(rules.counts())) == 1
+    assert {r.check: r.violations for r in rules.counts().collect()} == {
+        "dim_plant.not_null": 0, "dim_plant.unique": 0, "dim_plant.unique_gen_code": 0}

@@ -115,23 +115,13 @@ def build_all(
 
 
 def schema_checks(tables: dict[str, DataFrame]) -> list:
-    """The column checks of every built table, as Check objects."""
+    """The checks of every built table: one vector of row rules and keys per table, then those between tables."""
     from tidewatt.plans import quality as q
 
     fuel_types = ["Gas", "Hydro", "Geothermal", "Wind", "Diesel", "Coal", "Wood", "Solar", "Battery"]
-    checks = []
-
-    def add(table, kind, violations, severity="error"):
-        checks.append(q.Check(f"{table}.{kind}", violations, severity))
-
-    for table, columns in NOT_NULL.items():
-        any_null = F.lit(False)
-        for c in columns:
-            any_null = any_null | F.col(c).isNull()
-        add(table, "not_null", tables[table].filter(any_null))
-    for table, keys in UNIQUE.items():
-        add(table, "unique", q.duplicate_keys(tables[table], keys))
-    add("dim_plant", "unique_gen_code", q.duplicate_keys(tables["dim_plant"], ["gen_code"]), "warn")
+    rules: dict[str, list] = {table: [q.not_null_rule(columns)] for table, columns in NOT_NULL.items()}
+    keys: dict[str, list] = {table: [q.Key("unique", columns)] for table, columns in UNIQUE.items()}
+    keys["dim_plant"].append(q.Key("unique_gen_code", ["gen_code"], "warn"))
     for table, column, accepted, severity in [
         ("stg_generation", "fuel_type", fuel_types, "error"),
         ("stg_price", "pricing_regime", ["ex_post", "real_time"], "error"),
@@ -145,7 +135,7 @@ def schema_checks(tables: dict[str, DataFrame]) -> list:
         ("mart_price_anomaly_events", "anomaly_type",
          ["positive_spike", "negative_price", "statistical_outlier"], "error"),
     ]:
-        add(table, f"accepted_{column}", q.unexpected_values(tables[table], column, accepted), severity)
+        rules.setdefault(table, []).append(q.accepted_rule(column, accepted, severity))
     for table, column, low, high, severity in [
         ("stg_generation", "trading_period", 1, 50, "error"),
         ("stg_generation", "generation_kwh", 0, 1_000_000, "warn"),
@@ -161,7 +151,12 @@ def schema_checks(tables: dict[str, DataFrame]) -> list:
         ("mart_renewable_price_impact", "renewable_pct", 0, 100, "error"),
         ("mart_hydro_price_driver", "storage_pct_of_max", 0, 100, "warn"),
     ]:
-        add(table, f"range_{column}", q.out_of_range(tables[table], column, low, high), severity)
+        rules.setdefault(table, []).append(q.range_rule(column, low, high, severity))
+    checks: list = [q.TableRules(t, tables[t], rules.get(t, ()), keys.get(t, ())) for t in dict.fromkeys([*rules, *keys])]
+
+    def add(table, kind, violations, severity="error"):
+        checks.append(q.Check(f"{table}.{kind}", violations, severity))
+
     add("fct_generation", "plant_exists",
         q.orphans(tables["fct_generation"], "plant_id", tables["dim_plant"], "plant_id"))
     add("fct_price", "recon_rows",

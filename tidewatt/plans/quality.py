@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatt import schemas
@@ -134,24 +135,117 @@ def freshness(df: DataFrame, loaded_at: str, as_of: date, warn_days: int = 35, e
 
 @dataclass(frozen=True)
 class Check:
+    """A check of its own plan: rows that violate it."""
+
     name: str
     violations: DataFrame
     severity: str = "error"
 
+    def counts(self) -> DataFrame:
+        found = self.violations.agg(F.count(F.lit(1)).alias("violations"))
+        return found.select(F.lit(self.name).alias("check"), F.lit(self.severity).alias("severity"), "violations")
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A condition of bad rows; a null condition is no violation."""
+
+    name: str
+    bad: Column
+    severity: str = "error"
+
+
+def not_null_rule(columns: Sequence[str], name: str = "not_null", severity: str = "error") -> Rule:
+    bad = F.lit(False)
+    for c in columns:
+        bad = bad | F.col(c).isNull()
+    return Rule(name, bad, severity)
+
+
+def accepted_rule(column: str, accepted: Sequence, severity: str = "error") -> Rule:
+    return Rule(f"accepted_{column}", ~F.col(column).isin(*accepted), severity)
+
 
-def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
+def range_rule(column: str, low=None, high=None, severity: str = "error") -> Rule:
+    return Rule(f"range_{column}", _outside(column, low, high), severity)
+
+
+@dataclass(frozen=True)
+class Key:
+    """Columns that must be unique together; incomplete keys are the not-null rule's business."""
+
+    name: str
+    columns: Sequence[str]
+    severity: str = "error"
+
+
+@dataclass(frozen=True)
+class TableRules:
+    """All rules on the rows of one table as one vector of counts, and its keys; the table is scanned once."""
+
+    table: str
+    df: DataFrame
+    rules: Sequence[Rule] = ()
+    keys: Sequence[Key] = ()
+
+    def _vector(self) -> list[Column]:
+        return [F.count_if(r.bad).alias(f"_r{i}") for i, r in enumerate(self.rules)]
+
+    def _report(self, totals: DataFrame) -> DataFrame:
+        entries = [(r, f"_r{i}") for i, r in enumerate(self.rules)] + [(k, f"_u{i}") for i, k in enumerate(self.keys)]
+        rows = F.array(*[F.struct(F.lit(f"{self.table}.{x.name}").alias("check"), F.lit(x.severity).alias("severity"),
+                                  F.coalesce(c, F.lit(0)).cast("long").alias("violations")) for x, c in entries])
+        return totals.select(F.inline(rows))
+
+    def counts(self) -> DataFrame:
+        """(check, severity, violations). Where there are keys, the vector is summed per key on the way: one shuffle for all."""
+        if not self.keys:
+            return self._report(self.df.agg(*self._vector()))
+        sums = [F.sum(f"_r{i}").alias(f"_r{i}") for i in range(len(self.rules))]
+        if len(self.keys) == 1:
+            columns = list(self.keys[0].columns)
+            whole = F.lit(True)
+            for c in columns:
+                whole = whole & F.col(c).isNotNull()
+            groups = self.df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"), *self._vector())
+            return self._report(groups.agg(*sums, F.count_if(whole & (F.col("_n") > 1)).alias("_u0")))
+        # Several keys: a row is dealt once per key, and carries the vector with the first one.
+        dealt = F.array(*[F.struct(F.lit(i).alias("_i"), F.when(self._complete(k), F.to_json(F.struct(*k.columns))).alias("_key"))
+                          for i, k in enumerate(self.keys)])
+        flags = [F.coalesce(r.bad, F.lit(False)).alias(f"_b{i}") for i, r in enumerate(self.rules)]
+        rows = self.df.select(*flags, F.inline(dealt))
+        groups = rows.groupBy("_i", "_key").agg(F.count(F.lit(1)).alias("_n"), *[
+            F.count_if(F.col(f"_b{i}") & (F.col("_i") == 0)).alias(f"_r{i}") for i in range(len(self.rules))])
+        twice = F.col("_key").isNotNull() & (F.col("_n") > 1)
+        return self._report(groups.agg(*sums, *[F.count_if(twice & (F.col("_i") == i)).alias(f"_u{i}") for i in range(len(self.keys))]))
+
+    @staticmethod
+    def _complete(key: Key) -> Column:
+        whole = F.lit(True)
+        for c in key.columns:
+            whole = whole & F.col(c).isNotNull()
+        return whole
+
+    def written(self, write) -> DataFrame:
+        """Run write(df) and return the counts of the rules, observed while the rows passed: no scan of its own.
+
+        Keys need a shuffle, so they are left to counts().
+        """
+        seen = Observation()
+        write(self.df.observe(seen, *(self._vector() or [F.count(F.lit(1)).alias("_rows")])))
+        values = seen.get
+        rows = [(f"{self.table}.{r.name}", r.severity, int(values[f"_r{i}"])) for i, r in enumerate(self.rules)]
+        return self.df.sparkSession.createDataFrame(rows, "check string, severity string, violations long")
+
+
+def run_checks(spark: SparkSession, checks: Sequence[Check | TableRules]) -> DataFrame:
     """One row per check: violations and status, computed in one job."""
-    parts = [
-        c.violations.agg(F.count(F.lit(1)).alias("violations")).select(
-            F.lit(c.name).alias("check"), F.lit(c.severity).alias("severity"), "violations"
-        )
-        for c in checks
-    ]
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
+    return with_status(reduce(DataFrame.unionByName, [c.counts() for c in checks]))
+
+
+def with_status(counts: DataFrame) -> DataFrame:
     bad = F.when(F.col("severity") == "warn", "warn").otherwise("fail")
-    return out.withColumn("status", F.when(F.col("violations") == 0, "pass").otherwise(bad))
+    return counts.withColumn("status", F.when(F.col("violations") == 0, "pass").otherwise(bad))
 
 
 # ---- file contracts --------------------------------------------------------------------------
