@@ -37,7 +37,9 @@ HEADER = np.dtype([("doc_id", "<i8"), ("part", "<u4"), ("length", "<u4")])
 # Stands for a null doc_id in a header.
 NO_ID = np.iinfo(np.int64).min
 # A task's records are sent on when they have so many bytes: bounds memory, and lets neighbours in a shard compress.
-SENT_BYTES = 48 << 20
+SENT_BYTES = 16 << 20
+# Of zstd, for what waits on disk: the stored ids and the records on their way.
+COMPRESSION = 9
 # Shards of one task, where there would be more tasks than this.
 MOST_TASKS = 50_000
 _U = np.uint64
@@ -84,15 +86,13 @@ def _blobs(dtype: str, length: int, n: int, key: int, stride: int):
             at += len(part)
         slot = slots(slot, n, key)
         order = np.argsort(slot)
-        slot, records = slot[order], records[order]
         records["place"] = slot % stride
-        edges = np.flatnonzero(np.diff(slot // stride, prepend=-1, append=-1))
-        rows = [(slot[a] // stride, (b - a) * kind.itemsize, records[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
-        for i in range(0, len(rows), 1000):
-            shard, size, data = zip(*rows[i:i + 1000])
-            data = [pa.compress(x, codec="zstd", asbytes=True) for x in data]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard, pa.int64()), pa.array(size, pa.int64()), pa.array(data, pa.binary())], ["shard", "size", "blob"])
+        shard = slot[order] // stride
+        edges = np.flatnonzero(np.diff(shard, prepend=-1, append=-1))
+        codec = pa.Codec("zstd", compression_level=COMPRESSION)
+        data = [codec.compress(records[order[a:b]].tobytes(), asbytes=True) for a, b in zip(edges[:-1], edges[1:])]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(shard[edges[:-1]]), pa.array(np.diff(edges) * kind.itemsize), pa.array(data, pa.binary())], ["shard", "size", "blob"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts, held = [], 0
@@ -152,7 +152,8 @@ def materialize(docs: DataFrame, path: str, key: int, tokenizer: str | None = No
     shards with the type and number of the ids of a record.
     """
     spark = docs.sparkSession
-    rows, dtype = tokenized(docs, tokenizer, end_id, length, compression="zstd")
+    rows, dtype = tokenized(docs, tokenizer, end_id, length, **{
+        "compression": "zstd", "parquet.compression.codec.zstd.level": COMPRESSION})
     tasks = rows.groupBy("task").agg(F.sum("n").alias("own"))
     tasks = stored(tasks.select("task", before("own", Window.partitionBy().orderBy("task")).alias("ahead"), "own"), "tasks")
     n = tasks.select(F.coalesce(F.sum("own"), F.lit(0))).first()[0]
