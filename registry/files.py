@@ -126,11 +126,17 @@ def csv_tolerant(spark, sf):
          THEN 'daily' ELSE 'monthly' END AS origin FROM orders""",
 )
 def stitched_months(spark, sf):
-    """Februaries have no monthly file; their days are stitched in."""
-    o = table(spark, sf, "orders").select(yyyymm("o_orderdate").alias("trading_month"), "o_orderkey", "o_orderdate")
-    monthly = o.filter(F.month("o_orderdate") != 2).withColumn("origin", F.lit("monthly"))
-    daily = o.withColumn("origin", F.lit("daily"))
-    return files.stitched(monthly, daily).drop("o_orderdate")
+    """Short files, dated by the ten days they begin, and one per month, but none for Februaries: theirs are planned in."""
+    base = scratch_path(spark, "stitched")
+    o = table(spark, sf, "orders")
+    month = F.date_format("o_orderdate", "yyyyMM")
+    begun = F.concat(month, F.least(F.floor((F.dayofmonth("o_orderdate") - 1) / 10), F.lit(2)).cast("string"), F.lit("1"))
+    for kind, period, rows in (("monthly", month, o.filter(F.month("o_orderdate") != 2)), ("daily", begun, o)):
+        rows = rows.select(F.lit(kind).alias("kind"), period.alias("period"), "o_orderkey", "o_orderstatus")
+        rows.repartition("period").write.mode("append").partitionBy("kind", "period").option("header", True).csv(base)
+    plan = files.plan_files(files.list_files(spark, base), {"monthly": r"kind=monthly/period=(\d{6})/", "daily": r"kind=daily/period=(\d{8})/"})
+    rows = files.scan_planned(spark, base, plan, {"o_orderkey": "o_orderkey", "o_orderstatus": "status"})
+    return rows.select(F.substring("period", 1, 6).alias("trading_month"), F.col("o_orderkey").cast("long").alias("o_orderkey"), F.col("kind").alias("origin"))
 
 
 @query(
@@ -138,20 +144,58 @@ def stitched_months(spark, sf):
     """SELECT o_orderstatus AS status, count(*) AS row_count FROM orders WHERE o_orderkey % 2 = 1 GROUP BY 1""",
 )
 def latest_release(spark, sf):
-    """Two releases of a file per period; only the one whose name sorts last is read."""
+    """Two releases of a file per period; only the one that sorts last is read, and the older has a bad row."""
     base = scratch_path(spark, "releases")
     o = table(spark, sf, "orders").select(
-        F.col("o_orderstatus").alias("period"), "o_orderkey", F.col("o_orderstatus").alias("status"),
+        F.col("o_orderstatus").alias("period"), "o_orderkey",
+        F.concat("o_orderstatus", F.when(F.col("o_orderkey") % 2 == 0, ",surplus").otherwise("")).alias("status"),
         (F.col("o_orderkey") % 2).alias("version"),
     )
-    o.hint("rebalance", "period", "version").write.partitionBy("period", "version").option("header", True).csv(base)
-    found = files.list_files(spark, base).withColumn("name", F.regexp_extract("path", r"(period=\w+/version=\d+)", 1))
-    found = found.withColumn("path", F.regexp_replace("path", "/[^/]*$", "")).distinct()
-    columns = {"o_orderkey": "o_orderkey", "status": "status"}
-    rows = files.scan_latest(spark, found, r"^period=(\w+)/", files.scan_csv, columns=columns)
+    o.hint("rebalance", "period", "version").write.partitionBy("period", "version").options(header=True, quote="\u0000").csv(base)
+    plan = files.plan_files(files.list_files(spark, base), {"file": r"period=(\w+)/version=(\d+)/"})
+    rows = files.scan_planned(spark, base, plan, {"o_orderkey": "o_orderkey", "status": "status"})
     return rows.groupBy("status").agg(F.count(F.lit(1)).alias("row_count"))
 
 
+@query("newest_snapshot", "SELECT strftime(max(o_orderdate), '%Y%m%d') AS snapshot FROM orders WHERE o_orderdate < DATE '2000-03-10' AND o_orderdate >= DATE '2000-02-25'")
+def newest_snapshot(spark, sf):
+    """A snapshot file per day of orders; the newest of the two weeks up to a day."""
+    base = scratch_path(spark, "snapshots")
+    o = table(spark, sf, "orders").filter("o_orderdate >= '2000-01-01' and o_orderdate < '2000-05-01'")
+    o.select(F.date_format("o_orderdate", "yyyyMMdd").alias("day"), "o_orderkey").repartition("day").write.partitionBy("day").csv(base)
+    listed = files.list_files(spark, base).withColumn("name", F.regexp_extract("path", r"(day=\d{8})/", 1))
+    return files.newest_snapshot(listed, r"day=(\d{8})", date(2000, 3, 9), 14).select(F.regexp_extract("name", r"(\d{8})", 1).alias("snapshot"))
+
+
+_LAKES = """SELECT 'L' || (user_id % 7) AS site_code, strftime(ts, '%Y-%m-%d') AS date_str, CAST(event_id AS VARCHAR) AS active_storage_mm3,
+     CASE WHEN user_id % 7 < 4 THEN CAST(user_id AS VARCHAR) END AS quality_code FROM events"""
+
+
+@query("lake_files", _LAKES)
+def lake_files(spark, sf):
+    """A file per lake, named after it; the header has a superscript, a plain digit, spaces or other columns."""
+    base = scratch_path(spark, "lakes")
+    e = table(spark, sf, "events").select(
+        F.concat(F.lit("L"), (F.col("user_id") % 7).cast("string")).alias("lake"), (F.col("user_id") % 7).alias("k"),
+        F.date_format("ts", "yyyy-MM-dd").alias("date"), F.col("event_id").alias("storage"), F.col("user_id").alias("quality"))
+    storage = {0: "Active storage (Mm\u00b3)", 1: "Active storage (Mm3)", 2: " Active storage (Mm\u00b3) ", 3: "Active storage (Mm\u00b3)"}
+    for k in (0, 1, 2, 3, 4):  # lakes from 4 on have no quality column
+        rows = e.filter(F.col("k") == k) if k < 4 else e.filter("k >= 4")
+        named = [F.col("date").alias("Date"), F.col("storage").alias(storage.get(k, storage[0]))]
+        named += [F.col("quality").alias("QualityCode")] if k < 4 else []
+        rows.select("lake", *(named if k != 3 else named[::-1])).write.mode("append").partitionBy("lake").option("header", True).csv(base)
+    return files.scan_lakes(spark, base, r"lake=(\w+)/").select("site_code", "date_str", "active_storage_mm3", "quality_code")
+
+
+@query("csv_inferred_empty", "SELECT 0::BIGINT AS row_count, 4 AS column_count")
+def csv_inferred_empty(spark, sf):
+    """A folder whose files have no line is an empty frame of the known columns."""
+    path = scratch_path(spark, "empty")
+    table(spark, sf, "orders").filter("o_orderkey < 0").select(F.col("o_orderstatus").alias("value")).write.text(path)
+    found = files.scan_inferred(spark, path, schemas.PRICE).drop(MTIME)
+    return found.agg(F.count(F.lit(1)).alias("row_count")).withColumn("column_count", F.lit(len(found.columns)))
+
+
 @query("json_extract", "SELECT event_id, CAST(props->>'$.k' AS INTEGER) AS k FROM events")
 def json_extract(spark, sf):
     return table(spark, sf, "events").select("event_id", F.get_json_object("props", "$.k").cast("int").alias("k"))

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tidewatt import schemas
 from tidewatt.functions.casts import null_tokens, strip_nul
 from tidewatt.schemas import MTIME
+from tidewatt.sources import lines
 from tidewatt.sources.lines import BAD_ROW
 
 
@@ -68,26 +69,35 @@ def scan_csv(
     return scanned.repartition(spread) if spread else scanned
 
 
-def scan_inferred(spark: SparkSession, path: str, rename: dict[str, str] | None = None) -> DataFrame:
+def scan_inferred(spark: SparkSession, path: str, rename: dict[str, str] | None = None, tags: dict[str, str] | None = None) -> DataFrame:
     """All-text scan whose columns come from the headers; optional rename of the known ones.
 
-    Files with one header are scanned together and joined by column name; a file without a column of another has nulls
-    there. A row of another width than its header fails the scan.
+    Header names are compared in normal form (lines.normal), so that two spellings of one name are one column. Files with
+    other columns are joined by name; a file without a column of another has nulls there. A row of another width than its
+    header fails the scan. Files without a line give no row, a folder without lines an empty frame of the known columns.
+    The headers come from the first bytes of the files; then all files are read by one scan. tags are further columns, each
+    the first group of a pattern in the path.
     """
-    heads = spark.read.text(path, recursiveFileLookup=True, wholetext=False).select(
-        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("row"))
-    # The first line of a file; one row per distinct header comes back, with the files that have it.
-    heads = heads.filter("at = 0").groupBy("path").agg(F.min_by("value", "row").alias("header"))
-    groups = heads.filter("header is not null").groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    parts = []
-    for group in sorted(groups, key=lambda g: g.header):
-        one = spark.read.options(header=True, escape='"').csv(group.paths[0]).schema
-        df = spark.read.schema(one).options(
-            header=True, escape='"', enforceSchema=False, mode="FAILFAST", columnPruning=False).csv(group.paths)
-        parts.append(df.select("*", F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias(MTIME)))
-    found = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return found.withColumnsRenamed(rename or {})
+    known = {lines.normal(k): v for k, v in (rename or {}).items()}
+    heads = lines.headers(list_files(spark, path).filter("size > 0"))
+    # One row per distinct list of columns comes back.
+    groups = sorted([g.columns for g in heads.select("columns").distinct().collect()])
+    if not groups:
+        return spark.createDataFrame([], schemas.raw_schema([*(tags or {}), *known.values()], period=None))
+    rows = lines.scan_lines(spark, path).join(heads, "file_path").filter("line <> header")
+    parts, bad = [], F.lit(None).cast("string")
+    for i, columns in enumerate(groups):
+        own = F.col("columns") == F.array(*map(F.lit, columns))
+        schema = ", ".join(f"c{k} string" for k in range(len(columns))) + f", {BAD_ROW} string"
+        options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_ROW, "escape": '"'}
+        rows = rows.withColumn(f"g{i}", F.when(own & (F.trim("line") != ""), F.from_csv("line", schema, options)))
+        bad = F.coalesce(bad, F.col(f"g{i}.{BAD_ROW}"))
+        parts.append({name: f"g{i}.c{k}" for k, name in enumerate(columns)})
+    rows = lines.whole_rows(rows.filter(F.trim("line") != "").withColumn(BAD_ROW, bad))
+    names = list(dict.fromkeys(name for part in parts for name in part))
+    found = [F.coalesce(*[F.col(part[name]) for part in parts if name in part]).alias(known.get(name, name)) for name in names]
+    tagged = [F.regexp_extract("file_path", pattern, 1).alias(tag) for tag, pattern in (tags or {}).items()]
+    return rows.select(*tagged, *found, F.col("modified_at").alias(MTIME))
 
 
 def scan_price(spark, path, **kw) -> DataFrame:
@@ -125,11 +135,21 @@ def scan_hydro(spark, path, **kw) -> DataFrame:
     )
 
 
+def scan_lakes(spark: SparkSession, path: str, site: str = r"/([A-Z]{2}_[A-Z]{2,4})_Storage_[^/]*\.csv$") -> DataFrame:
+    """Files of lakes by header names in any spelling, with the site code that the pattern finds in the path.
+
+    Unlike scan_hydro it takes the columns in any order and number; those that no file has are null.
+    """
+    found = scan_inferred(spark, path, schemas.HYDRO, tags={"site_code": site})
+    absent = [F.lit(None).cast("string").alias(c) for c in schemas.HYDRO.values() if c not in found.columns]
+    return found.select("*", *absent).filter("site_code <> ''").select("site_code", *schemas.HYDRO.values(), MTIME)
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
-    """Path, name, size and time of every file; contents are not read."""
+    """Path, name, size and time of every file; contents are not read. file_path is the form that scans report."""
     found = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-        .select("path", F.col("length").alias("size"), F.col("modificationTime").alias("modified_at"))
+        .select("path", "_metadata.file_path", F.col("length").alias("size"), F.col("modificationTime").alias("modified_at"))
     )
     return found.withColumn("name", F.element_at(F.split("path", "/"), -1))
 
@@ -148,14 +168,61 @@ def newest_snapshot(files: DataFrame, pattern: str, as_of, lookback_days: int =
     return dated.orderBy(F.col("snapshot_date").desc(), F.col("name").desc()).limit(1)
 
 
+def plan_files(files: DataFrame, kinds: dict[str, str]) -> DataFrame:
+    """(file_path, kind, period, release): the files that are to be read, as a table.
+
+    kinds maps a kind to a pattern, searched in the path; its first group is the period, a second one the release, else
+    the name is. Of one kind and period the release that sorts last is read. Kinds are in order of preference: a file
+    of a later kind is read only for months (the first six digits of its period) that no earlier kind has, such as days
+    for months without a monthly file. A path that no pattern finds is left out.
+    """
+    tags = F.lit(None)
+    for kind, pattern in reversed(kinds.items()):
+        two = re.compile(pattern).groups > 1
+        tag = F.struct(F.lit(kind).alias("kind"), F.regexp_extract("file_path", pattern, 1).alias("period"),
+                       (F.regexp_extract("file_path", pattern, 2) if two else F.col("name")).alias("release"))
+        tags = F.when(F.col("file_path").rlike(pattern), tag).otherwise(tags)
+    tagged = files.withColumn("_t", tags).filter("_t is not null").select("file_path", "_t.*")
+    best = tagged.groupBy("kind", "period").agg(F.max("release").alias("release"))
+    # A period with several files of its latest release keeps them all.
+    latest = tagged.join(best, ["kind", "period", "release"], "left_semi")
+    latest = latest.withColumn("month", F.substring("period", 1, 6))
+    out, covered = None, None
+    for kind in kinds:
+        own = latest.filter(F.col("kind") == kind)
+        if covered is not None:
+            own = own.join(covered, "month", "left_anti")
+        months = own.select("month")
+        out = own if out is None else out.unionByName(own)
+        covered = months if covered is None else covered.unionByName(months)
+    return out.select("file_path", "kind", "period", "release")
+
+
+def scan_planned(spark: SparkSession, path: str, plan: DataFrame, columns: dict[str, str], on_bad_row: str = "fail") -> DataFrame:
+    """All-text rows of the planned files below path, with kind and period of their file.
+
+    The plan is joined to the lines by file; nothing of it comes to the driver. Lines of other files are not parsed, so
+    what is wrong in them doesn't matter. A file begins with the given header; other lines equal to it are dropped too.
+    """
+    rows = lines.scan_lines(spark, path).join(plan.select("file_path", "kind", "period"), "file_path")
+    rows = lines.parsed(rows, list(columns.values()))
+    header = F.lit(True)
+    for source, target in columns.items():
+        header = header & F.col(target).eqNullSafe(F.lit(source))
+    # Whether a row is bad is asked of planned files only: the condition needs the plan, so it stays above the join.
+    rows = rows.withColumn(BAD_ROW, F.when(F.col("kind").isNotNull(), F.col(BAD_ROW)))
+    rows = lines.whole_rows(rows.filter(~header), on_bad_row)
+    return rows.select("kind", "period", *columns.values(), F.col("modified_at").alias(MTIME))
+
+
 def scan_latest(spark: SparkSession, files: DataFrame, pattern: str, scan, **kw) -> DataFrame:
-    """Read only the latest file of every period. The path list has one entry per period."""
+    """Read only the latest file of every period, by a list of paths with one entry per period; see scan_planned for many."""
     paths = [r.path for r in latest_file_per_period(files, pattern).select("path").collect()]
     return scan(spark, sorted(paths), **kw)
 
 
 def stitched(monthly: DataFrame, daily: DataFrame, period: str = "trading_month") -> DataFrame:
-    """Monthly rows, and daily rows for the months that have no monthly file."""
+    """Monthly rows, and daily rows for the months that have no monthly file; for frames, see plan_files for files."""
     covered = monthly.select(period).distinct()
     return monthly.unionByName(daily.join(covered, period, "left_anti"))
 

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import csv
+import unicodedata
+from collections.abc import Iterator, Sequence
+from urllib.parse import unquote
 
+import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -13,13 +18,14 @@ BAD_ROW = "_bad_row"
 
 
 def scan_lines(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """(file_path, file_name, file_size, block, at, line): at orders the lines of one block of a file.
+    """(file_path, file_name, file_size, modified_at, block, at, line): at orders the lines of one block of a file.
 
     A block is what one task reads of a file; blocks are ordered by where they start.
     """
     paths = [path] if isinstance(path, str) else list(path)
     return spark.read.option("recursiveFileLookup", True).text(paths).select(
         "_metadata.file_path", "_metadata.file_name", "_metadata.file_size",
+        F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("modified_at"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("at"),
         strip_nul(F.col("value")).alias("line"))
 
@@ -36,6 +42,43 @@ def parsed(lines: DataFrame, columns: Sequence[str]) -> DataFrame:
     return rows.select(*lines.columns, *[F.col(f"_row.`{c}`").alias(c) for c in columns], bad.alias(BAD_ROW))
 
 
+def whole_rows(rows: DataFrame, on_bad_row: str = "fail") -> DataFrame:
+    """Parsed rows without BAD_ROW; a bad row fails the scan or is skipped, whichever columns are read later."""
+    if on_bad_row == "skip":
+        return rows.filter(F.col(BAD_ROW).isNull()).drop(BAD_ROW)
+    message = F.concat(F.lit("wrong number of fields in "), "file_path", F.lit(": "), BAD_ROW)
+    return rows.filter(F.when(F.col(BAD_ROW).isNotNull(), F.raise_error(message).cast("boolean")).otherwise(True)).drop(BAD_ROW)
+
+
+def normal(name: str) -> str:
+    """A column name without what writers differ in: composed or decomposed characters, superscripts, spaces around it."""
+    return unicodedata.normalize("NFKC", name.lstrip("\ufeff")).strip()
+
+
+def headers(files: DataFrame, most_bytes: int = 1 << 16) -> DataFrame:
+    """(file_path, header, columns) of files (file_path), of which only the first bytes are read: the first line, and its
+    fields in normal form. Files without a line are left out.
+
+    Tasks open the files by pyarrow.fs, which knows local folders and the usual stores.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for uri in batch.column("file_path").to_pylist():
+                store, path = fs.FileSystem.from_uri(unquote(uri))
+                with store.open_input_stream(path, compression="gzip" if path.endswith(".gz") else None) as f:
+                    first = f.read(most_bytes).decode("utf-8-sig", errors="ignore").splitlines()
+                if first and first[0]:
+                    rows.append((uri, first[0], [normal(x) for x in next(csv.reader(first[:1]))]))
+            if rows:
+                path, header, columns = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(path), pa.array(header), pa.array(columns, pa.list_(pa.string()))], ["file_path", "header", "columns"])
+
+    return files.select("file_path").mapInArrow(run, "file_path string, header string, columns array<string>")
+
+
 def per_file(lines: DataFrame, *tags: str, counts: dict[str, Column], firsts: dict[str, tuple[Column, Column]],
              most: Sequence[str] = ()) -> DataFrame:
     """One row per file: lines, every count, and of every first (condition, value) the line number and value.
