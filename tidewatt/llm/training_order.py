@@ -189,44 +189,47 @@ def records(spark, path: str, slot: int = 0) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for shard, data in zip(batch.column("shard").to_pylist(), batch.column("content")):
-                skipped = max(0, slot - shard * stride)
-                found = np.frombuffer(data.as_buffer(), dtype=record_type(dtype, length))[skipped:]
-                if not len(found):
-                    continue
-                doc_id = pa.array(found["doc_id"], mask=found["doc_id"] == NO_ID)
-                at = shard * stride + skipped + np.arange(len(found))
-                ids = np.ascontiguousarray(found["ids"]).tobytes()
-                size = len(ids) // len(found)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(found), shard)), pa.array(at), doc_id, pa.array(found["part"].astype(np.int64)),
-                     pa.array(found["length"].astype(np.int64)), pa.array([ids[i:i + size] for i in range(0, len(ids), size)], pa.binary())],
-                    ["shard", "slot", "doc_id", "part", "length", "record"])
-
-    # Spark passes over files by a filter on their name when it lists them.
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "shard-*.bin").load(path)
-    files = files.filter(F.col("_metadata.file_name") >= shard_name(slot // stride))
-    files = files.select(F.regexp_extract("path", r"shard-(\d+)\.bin$", 1).cast("long").alias("shard"), "content")
-    return files.mapInArrow(run, RECORD)
+            for shard in batch.column("shard").to_pylist():
+                for at, found in _read(path, (dtype, length, stride), max(slot, shard * stride)):
+                    doc_id = pa.array(found["doc_id"], mask=found["doc_id"] == NO_ID)
+                    ids = np.ascontiguousarray(found["ids"])
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(len(found), shard)), pa.array(at + np.arange(len(found))), doc_id, pa.array(found["part"].astype(np.int64)),
+                         pa.array(found["length"].astype(np.int64)), pa.array([x.tobytes() for x in ids], pa.binary())],
+                        ["shard", "slot", "doc_id", "part", "length", "record"])
+
+    shards = spark.read.parquet(f"{path}/layout").select("shard").filter(F.col("shard") >= slot // stride)
+    # A few bytes name a shard, so the rows are dealt by number, not by size.
+    return shards.repartition(min(MOST_TASKS, max(1, shards.count())), "shard").mapInArrow(run, RECORD)
+
+
+def _read(path: str, kind: tuple[str, int, int], slot: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(slot, records) of the slot's shard from there on, some hundred at a time; nothing if there is no such shard."""
+    dtype, length, stride = kind
+    record = record_type(dtype, length)
+    store, folder = fs.FileSystem.from_uri(path)
+    name = f"{folder}/{shard_name(slot // stride)}"
+    if store.get_file_info(name).type != fs.FileType.File:
+        return
+    with store.open_input_file(name) as f:
+        f.seek(slot % stride * record.itemsize)
+        while data := f.read(256 * record.itemsize):
+            found = np.frombuffer(data, dtype=record)
+            yield slot, found
+            slot += len(found)
 
 
 def resume(path: str, kind: tuple[str, int, int], slot: int) -> Iterator[tuple[int, int | None, int, np.ndarray]]:
     """(slot, doc_id, part, ids) from a slot on, for one reader: seeks in the slot's shard, then reads shard by shard."""
-    dtype, length, stride = kind
-    record = record_type(dtype, length)
-    store, folder = fs.FileSystem.from_uri(path)
+    stride = kind[2]
     while True:
-        shard, name = slot // stride, f"{folder}/{shard_name(slot // stride)}"
-        if store.get_file_info(name).type != fs.FileType.File:
-            return
-        with store.open_input_file(name) as f:
-            f.seek(slot % stride * record.itemsize)
-            while data := f.read(64 * record.itemsize):
-                for one in np.frombuffer(data, dtype=record):
-                    yield slot, None if one["doc_id"] == NO_ID else int(one["doc_id"]), int(one["part"]), one["ids"][:one["length"]]
-                    slot += 1
-        if slot // stride == shard:
-            return  # the last shard is not full
+        end = slot
+        for at, found in _read(path, kind, slot):
+            for end, one in enumerate(found, at + 1):
+                yield end - 1, None if one["doc_id"] == NO_ID else int(one["doc_id"]), int(one["part"]), one["ids"][:one["length"]]
+        if end == slot or end % stride:
+            return  # no such shard, or the last one, which is not full
+        slot = end
 
 
 def digest(rows: DataFrame, dtype: str, length: int, stride: int) -> DataFrame:
