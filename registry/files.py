@@ -328,7 +328,56 @@ def month_lookback_window(spark, sf):
 
 @query("load_report", "SELECT strftime(o_orderdate, '%Y%m') AS month, count(*) AS row_count FROM orders GROUP BY 1")
 def load_report(spark, sf):
-    return sinks.load_report(_orders(spark, sf), "month")
+    """Rows per month, counted by the write itself."""
+    path = scratch_path(spark, "loaded")
+    return sinks.counted_by_period(_orders(spark, sf), lambda df: sinks.replace_all(df, path, ["month"]), "month")
+
+
+@query(
+    "published_periods",
+    """SELECT o_orderkey, CAST(o_orderdate AS DATE) AS day, strftime(o_orderdate, '%Y%m') AS month,
+         CASE WHEN year(o_orderdate) = 1997 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice FROM orders WHERE year(o_orderdate) <> 1998""",
+)
+def published_periods(spark, sf):
+    """A year is replaced and another dropped at once; a later change that fails half-way leaves no trace."""
+    path = scratch_path(spark, "published")
+    o = _orders(spark, sf)
+    sinks.publish_periods(spark, o, path, "month")
+    year = o.filter(F.col("month").between("199701", "199712")).withColumn("o_totalprice", -F.col("o_totalprice"))
+    sinks.publish_periods(spark, year, path, "month", gone=[f"1998{m:02}" for m in range(1, 13)])
+    broken = F.when(F.col("month") == "199605", F.raise_error(F.lit("lost")).cast("double")).otherwise(0.0)
+    try:
+        sinks.publish_periods(spark, o.withColumn("o_totalprice", broken), path, "month")
+    except Exception as e:
+        if "lost" not in str(e):
+            raise
+    sinks.drop_unpublished(spark, path)
+    return sinks.read_published(spark, path, o.schema)
+
+
+@query(
+    "late_correction",
+    """SELECT strftime(o_orderdate, '%Y%m') AS period_month, count(*) AS orders, round(sum(CASE WHEN strftime(o_orderdate, '%Y%m') = '199603'
+         THEN -o_totalprice ELSE o_totalprice END), 2) AS total FROM orders
+       WHERE strftime(o_orderdate, '%Y%m') <> '199605' AND NOT (strftime(o_orderdate, '%Y%m') = '199603' AND o_orderkey % 2 = 0) GROUP BY 1""",
+)
+def late_correction(spark, sf):
+    """An old month is corrected and loses rows, another vanishes, the last is new; only those are rebuilt."""
+    path = scratch_path(spark, "corrected")
+    o = table(spark, sf, "orders").select(
+        "o_orderkey", "o_totalprice", yyyymm("o_orderdate").alias(incremental.PERIOD), F.lit("2024-01-01").cast("timestamp_ntz").alias(MTIME))
+    last = o.agg(F.max(incremental.PERIOD)).first()[0]
+    fixed = o.filter(f"period_month <> '199605' and not (period_month = '199603' and o_orderkey % 2 = 0)").withColumns({
+        "o_totalprice": F.when(F.col("period_month") == "199603", -F.col("o_totalprice")).otherwise(F.col("o_totalprice")),
+        MTIME: F.when(F.col("period_month") == "199603", F.lit("2024-02-01").cast("timestamp_ntz")).otherwise(F.col(MTIME))})
+    build = lambda s, _: s.groupBy(incremental.PERIOD).agg(
+        F.count(F.lit(1)).alias("orders"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+    done = [incremental.refresh_changed(spark, path, source, build, MTIME)
+            for source in (o.filter(F.col(incremental.PERIOD) < last), fixed, fixed)]
+    if done[1:] != [sorted({"199603", "199605", last}), []]:
+        raise AssertionError(f"refreshed {done[1:]}")
+    schema = "orders long, total double, period_month string"
+    return sinks.read_published(spark, f"{path}/table", schema)
 
 
 @query(

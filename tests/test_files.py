@@ -132,3 +132,59 @@ def test_stitched(spark):
     monthly = spark.createDataFrame([("202401", 1)], "trading_month string, v int")
     daily = spark.createDataFrame([("202401", 2), ("202402", 3)], "trading_month string, v int")
     assert {r.v for r in files.stitched(monthly, daily).collect()} == {1, 3}
+
+
+def test_plan_files(spark):
+    names = ["m/202401_r1.csv", "m/202401_r2.csv", "m/202403_r1.csv", "d/20240105_r1.csv", "d/20240207_r1.csv", "d/20240207_r3.csv", "x/other.csv"]
+    listed = spark.createDataFrame([(f"file:/{n}", n.split("/")[1]) for n in names], "file_path string, name string")
+    plan = files.plan_files(listed, {"month": r"/m/(\d{6})_(r\d)", "day": r"/d/(\d{8})_(r\d)"})
+    assert {(r.file_path[6:], r.kind, r.period) for r in plan.collect()} == {
+        ("m/202401_r2.csv", "month", "202401"), ("m/202403_r1.csv", "month", "202403"), ("d/20240207_r3.csv", "day", "20240207")}
+
+
+def test_headers_in_two_spellings(spark, workdir):
+    from tidewatt.sources import lines
+
+    month.put(f"{workdir}/NI_AA_Storage_x.csv", ["Date", "Active storage (Mm³)"], [["2024-01-01", "5"]])
+    month.put(f"{workdir}/NI_BB_Storage_x.csv.gz", ["﻿Active storage (Mm3) ", "Date"], [["7", "2024-01-02"]])
+    open(f"{workdir}/NI_CC_Storage_x.csv", "w").close()
+    got = files.scan_lakes(spark, workdir, r"/(\w\w_\w\w)_Storage_").select("site_code", "date_str", "active_storage_mm3", "level_m").collect()
+    assert {tuple(r) for r in got} == {("NI_AA", "2024-01-01", "5", None), ("NI_BB", "2024-01-02", "7", None)}
+    heads = lines.headers(files.list_files(spark, workdir)).collect()
+    assert {tuple(r.columns) for r in heads} == {("Date", "Active storage (Mm3)"), ("Active storage (Mm3)", "Date")}
+    month.put(f"{workdir}/NI_DD_Storage_x.csv", ["Date", "Active storage (Mm³)"], [["2024-01-01", "5", "6"]])
+    for use in (lambda d: d.count(), lambda d: d.select("date_str").collect()):
+        with pytest.raises(Exception, match="wrong number of fields"):
+            use(files.scan_lakes(spark, workdir))
+
+
+def test_a_change_of_several_periods_is_seen_whole(spark, workdir):
+    from pyspark.sql import functions as F
+
+    from tidewatt.sources import sinks
+
+    path, schema = f"{workdir}/t", "v long, m string"
+    assert sinks.read_published(spark, path, schema).count() == 0
+    rows = lambda v, months: spark.createDataFrame([(v, m) for m in months], schema)
+    seen = lambda: {(r.m, r.v) for r in sinks.read_published(spark, path, schema).collect()}
+    sinks.publish_periods(spark, rows(1, ["202401", "202402", "202403"]), path, "m")
+    old = sinks.read_published(spark, path, schema)
+    lost = rows(2, ["202401", "202402"]).withColumn("v", F.when(F.col("m") == "202402", F.raise_error(F.lit("lost")).cast("long")).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="lost"):
+        sinks.publish_periods(spark, lost, path, "m")
+    assert seen() == {("202401", 1), ("202402", 1), ("202403", 1)}
+    sinks.publish_periods(spark, rows(2, ["202401", "202402"]), path, "m", gone=["202403"])
+    assert seen() == {("202401", 2), ("202402", 2)}
+    assert {(r.m, r.v) for r in old.collect()} == {("202401", 1), ("202402", 1), ("202403", 1)}  # a reader from before
+    sinks.drop_unpublished(spark, path)
+    assert seen() == {("202401", 2), ("202402", 2)}
+
+
+def test_counted_by_period(spark):
+    from tidewatt.sources import sinks
+
+    df = spark.createDataFrame([("202401",)] * 3 + [("000012",), (None,)], "m string")
+    got = sinks.counted_by_period(df, lambda d: d.write.format("noop").mode("overwrite").save(), "m")
+    assert {tuple(r) for r in got.collect()} == {("202401", 3), ("000012", 1), (None, 1)}
+    with pytest.raises(ValueError):
+        sinks.counted_by_period(df.selectExpr("'x' as m"), lambda d: d.write.format("noop").mode("overwrite").save(), "m")

@@ -153,3 +153,31 @@ def test_rules_of_every_table_scan_it_once(spark, tmp_path):
     assert len(scans(rules.counts())) == 1
     assert {r.check: r.violations for r in rules.counts().collect()} == {
         "dim_plant.not_null": 0, "dim_plant.unique": 0, "dim_plant.unique_gen_code": 0}
+
+
+def test_equal_results_never_shuffle_rows(spark):
+    """What a comparison of equal inputs shuffles is the size of digests; the rows' part of the plan is found empty."""
+    from tidewatt.operators.joins import compare
+
+    def written():
+        return spark.sparkContext._jsc.sc().statusStore().executorSummary("driver").totalShuffleWrite()
+
+    a = spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/lineitem.parquet")
+    halves = a.filter("l_orderkey % 2 = 1").unionByName(a.filter("l_orderkey % 2 = 0"))
+    begin = written()
+    same = compare(a, halves)
+    assert same.collect() == []
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    assert "EmptyRelation" in plan(same)
+    assert written() - begin < 1_200_000, written() - begin
+    begin = written()
+    assert compare(a, a.withColumn("l_tax", -F.col("l_tax"))).count() > 100_000
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    assert written() - begin > 3_000_000
+    a = spark.read.parquet(f"{SF_DIR}/lineitem.parquet")
+    twice = compare(a.unionByName(a.limit(1)), a).collect()
+    assert len(twice) == 1 and twice[0].side == "left"
+    nulls = spark.createDataFrame([(None, 1), (1, None), (1, None)], "x int, y int")
+    other = spark.createDataFrame([(1, None), (None, 1), (None, 1)], "x int, y int")
+    assert sorted(map(str, compare(nulls, other).collect())) == sorted(
+        ["Row(x=1, y=None, side='left')", "Row(x=None, y=1, side='right')"])

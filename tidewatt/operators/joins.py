@@ -41,10 +41,36 @@ def recent_ids(df: DataFrame, key: str, ts: str, n: int) -> DataFrame:
     return last.orderBy(F.col("_ts").desc_nulls_last(), F.col(key)).limit(n).select(key)
 
 
+# Buckets of the digests of compare: their tables, and what is broadcast, have at most so many rows.
+BUCKETS = 4096
+
+
+def _hashed(df: DataFrame) -> DataFrame:
+    # Nulls are told apart from values by flags, because hashes pass over nulls.
+    values = [x for c in df.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    row = F.xxhash64(*values)
+    return df.select("*", row.alias("_row"), F.hash(*values).cast("long").alias("_more"), F.pmod(row, F.lit(BUCKETS)).alias("_bucket"))
+
+
+def _digests(df: DataFrame, side: str) -> DataFrame:
+    """Per bucket of equal row hashes: count and sums of two hashes, whatever the order of rows."""
+    parts = F.struct(F.count(F.lit(1)), F.sum(F.col("_row").cast("decimal(20,0)")), F.sum(F.col("_more")))
+    return df.groupBy("_bucket").agg(parts.alias(side))
+
+
 def compare(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows in one result but not the other, with multiplicity; empty means equal."""
-    b = b.select(*a.columns)
-    return (
-        a.exceptAll(b).withColumn("side", F.lit("left"))
-        .unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
-    )
+    """Rows in one result but not the other, with multiplicity and side; empty means equal.
+
+    Buckets of rows are compared by their digests first; only rows of buckets that differ are shuffled, both sides at
+    once. A column may hold nulls; maps cannot be compared.
+    """
+    columns = a.columns
+    left, right = _hashed(a), _hashed(b.select(*[f"`{c}`" for c in columns]))
+    digests = _digests(left, "_left").join(_digests(right, "_right"), "_bucket", "full_outer")
+    differ = F.broadcast(digests.filter(~F.col("_left").eqNullSafe(F.col("_right"))).select("_bucket"))  # BUCKETS rows at most
+    rows = [df.join(differ, "_bucket", "left_semi").select(*[f"`{c}`" for c in columns], F.lit(sign).alias("_sign"))
+            for df, sign in ((left, 1), (right, -1))]
+    surplus = rows[0].unionByName(rows[1]).groupBy(*[f"`{c}`" for c in columns]).agg(F.sum("_sign").alias("_n")).filter("_n <> 0")
+    side = F.when(F.col("_n") > 0, "left").otherwise("right").alias("side")
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.abs("_n")))
+    return surplus.select(*[f"`{c}`" for c in columns], side, copies.alias("_copy")).drop("_copy")

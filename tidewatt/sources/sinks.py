@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -101,11 +102,106 @@ def write_counted(df: DataFrame, write) -> int:
     return seen.get["rows"]
 
 
+# More distinct periods than this in one load are an error of counted_by_period.
+MOST_PERIODS = 4096
+
+
+def counted_by_period(df: DataFrame, write, period: str) -> DataFrame:
+    """Run `write(df)` and return (period, row_count) of the rows that passed through it: one job, no second scan.
+
+    period must hold digits, six at least, such as YYYYMM. The counts are an observed histogram with room for a bin per period, so none
+    are merged; nulls are counted under a null period.
+    """
+    seen, number = Observation(), F.col(period).cast("long")
+    write(df.observe(seen, F.histogram_numeric(number.cast("double"), F.lit(MOST_PERIODS)).alias("bins"),
+                     F.count_if(number.isNull()).alias("nulls"), F.count_if(F.col(period).isNotNull() & number.isNull()).alias("bad")))
+    found, counts = seen.get, {}
+    # Tasks' bins of one period come side by side; where they are too many, equal ones are merged first.
+    for b in found["bins"] or []:
+        counts[b.x] = counts.get(b.x, 0) + int(b.y)
+    if found["bad"] or len(counts) >= MOST_PERIODS:
+        raise ValueError(f"{period} holds other text than digits, or {MOST_PERIODS} periods and more")
+    rows = [(f"{int(x):06d}", n) for x, n in sorted(counts.items())] + [(None, int(found["nulls"]))] * bool(found["nulls"])
+    return df.sparkSession.createDataFrame(rows, f"`{period}` string, row_count long")
+
+
 def load_report(df: DataFrame, period: str) -> DataFrame:
-    """Rows per loaded period."""
+    """Rows per loaded period, of a table that is there already; counted_by_period counts while it is written."""
     return df.groupBy(period).agg(F.count(F.lit(1)).alias("row_count"))
 
 
+# ---- several periods at once ------------------------------------------------------------------
+#
+# path/version=<id>/<period>=<value>/ holds rows; path/_pointers/<number> names the version of every period, a line each.
+# The pointer with the highest number counts. It is written under another name and renamed, so readers see all periods
+# of a change or none.
+
+
+def _pointers(spark, path: str) -> list[str]:
+    p, fs = _path(spark, f"{path}/_pointers")
+    if not fs.exists(p):
+        return []
+    return sorted(x.getPath().getName() for x in fs.listStatus(p) if not x.getPath().getName().startswith("."))
+
+
+def published_versions(spark: SparkSession, path: str) -> dict[str, str]:
+    """Period: version, as the newest pointer has it; one entry per period."""
+    names = _pointers(spark, path)
+    if not names:
+        return {}
+    lines = spark.read.text(f"{path}/_pointers/{names[-1]}").collect()
+    return dict(tuple(r.value.split("\t")) for r in lines)
+
+
+def publish_periods(spark: SparkSession, df: DataFrame, path: str, period: str, gone: Sequence[str] = ()) -> None:
+    """Replace the periods that occur in df, and drop those in gone, all at once for readers; others stay.
+
+    A failure before the pointer's rename changes nothing; two writers at a time cannot both get the next pointer: the
+    later one fails and may repeat.
+    """
+    number = int(_pointers(spark, path)[-1]) + 1 if _pointers(spark, path) else 0
+    current = published_versions(spark, path)
+    version = uuid.uuid4().hex
+    target = f"{path}/version={version}"
+    _balanced(df, [period]).write.partitionBy(period).parquet(target)
+    p, fs = _path(spark, target)
+    new = [x.getPath().getName().split("=", 1)[1] for x in fs.listStatus(p) if x.isDirectory() and "=" in x.getPath().getName()]
+    current = {k: v for k, v in current.items() if k not in set(gone)} | dict.fromkeys(new, version)
+    attempt, fs = _path(spark, f"{path}/_pointers/.{version}")
+    out = fs.create(attempt)
+    out.write(bytearray("".join(f"{k}\t{v}\n" for k, v in sorted(current.items())).encode()))
+    out.close()
+    final, _ = _path(spark, f"{path}/_pointers/{number:012d}")
+    if fs.exists(final) or not fs.rename(attempt, final):
+        fs.delete(attempt, False)
+        raise RuntimeError(f"another writer published {path} in between")
+
+
+def read_published(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table as published: one folder per period; an empty frame before the first publication."""
+    current = published_versions(spark, path)
+    if not current:
+        return spark.createDataFrame([], schema)
+    # The period's column is the folder below the version.
+    p, fs = _path(spark, f"{path}/version={next(iter(current.values()))}")
+    period = next(x.getPath().getName().split("=", 1)[0] for x in fs.listStatus(p) if "=" in x.getPath().getName())
+    folders = [f"{path}/version={v}/{period}={k}" for k, v in sorted(current.items())]
+    df = spark.read.option("basePath", path).schema(schema).parquet(*folders)
+    return df.select(*[f.name for f in df.schema.fields if f.name != "version"])
+
+
+def drop_unpublished(spark: SparkSession, path: str) -> None:
+    """Remove versions and pointers that no current reader needs: all but those of the newest pointer."""
+    current, names = set(published_versions(spark, path).values()), _pointers(spark, path)
+    p, fs = _path(spark, path)
+    for x in fs.listStatus(p):
+        name = x.getPath().getName()
+        if name.startswith("version=") and name.split("=", 1)[1] not in current:
+            fs.delete(x.getPath(), True)
+    for name in names[:-1]:
+        fs.delete(_path(spark, f"{path}/_pointers/{name}")[0], False)
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with header. A single file suits dashboard-sized results only."""
     out = df.coalesce(1) if single_file else df

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatt.functions.calendar import yyyymm
+from tidewatt.session import staged
 from tidewatt.sources import sinks
 from tidewatt.sources.files import read_or_empty
 
@@ -123,6 +124,41 @@ def refresh(
         sinks.upsert(spark, path, batch, spec.keys, PERIOD)
 
 
+def changed_periods(source: DataFrame, marks: DataFrame, modified: str) -> DataFrame:
+    """(PERIOD, newest) of the periods of source that are newer than their mark, or have none; and, with a null
+    newest, of marked periods that the source no longer has."""
+    now = source.groupBy(PERIOD).agg(F.max(modified).alias("newest"))
+    both = now.join(marks.select(PERIOD, F.col("newest").alias("_mark")), PERIOD, "full_outer")
+    return both.filter("_mark is null or newest is null or newest > _mark").select(PERIOD, "newest")
+
+
+def refresh_changed(spark: SparkSession, path: str, source: DataFrame, build, modified: str) -> list[str]:
+    """Rebuild the periods whose source files changed, however old they are; returns them.
+
+    source carries PERIOD and the modification time of its file. build(source, within) maps the rows of those periods to
+    table rows of the same periods, with PERIOD; within(df) cuts other facts to them. The table is published below
+    path/table, all changed periods at once; then their marks are kept in path/marks. A failure in between refreshes the
+    same periods again. Only the two columns of the source are read to find out; a period that the source no longer has,
+    or that yields no row, leaves the table.
+    """
+    schema = T.StructType([T.StructField(PERIOD, T.StringType()), T.StructField("newest", source.schema[modified].dataType)])
+    marks = read_or_empty(spark, f"{path}/marks", schema)
+    changed = changed_periods(source, marks, modified)
+    with staged(changed, "changed") as changed:
+        # One entry per month.
+        periods = sorted(r[0] for r in changed.select(PERIOD).collect())
+        if not periods:
+            return []
+        within = lambda df: df.filter(F.col(PERIOD).isin(*periods))
+        with staged(build(within(source), within), "rebuilt") as batch:
+            made = {r[0] for r in batch.select(PERIOD).distinct().collect()}
+            sinks.publish_periods(spark, batch, f"{path}/table", PERIOD, gone=[p for p in periods if p not in made])
+        kept = marks.join(changed.select(PERIOD), PERIOD, "left_anti").unionByName(changed.filter("newest is not null"))
+        with staged(kept, "marks") as kept:
+            sinks.replace_all(kept, f"{path}/marks")
+    return periods
+
+
 def load(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     """The table at `path` with the columns of `like`; empty while nothing was written."""
     schema = T.StructType([*like.schema.fields, T.StructField(PERIOD, T.StringType())])
