@@ -504,12 +504,13 @@ def context_window(spark, sf):
 
 @query(
     "event_windows",
-    with_("context node", """, cx AS MATERIALIZED (SELECT poc_code, trading_date, tp_number, price_nzd_mwh, offtake_mw FROM context),
-          around AS MATERIALIZED (SELECT poc_code, trading_date, tp_number AS event_tp,
-            unnest(range(greatest(tp_number - 6, 1), least(tp_number + 6, 50) + 1)) AS tp_number
-            FROM cx WHERE price_nzd_mwh > 300)
-          SELECT a.poc_code, a.trading_date, a.event_tp, c.tp_number, c.price_nzd_mwh, c.offtake_mw FROM around a
-          JOIN cx c ON c.poc_code = a.poc_code AND c.trading_date = a.trading_date AND c.tp_number = a.tp_number"""),
+    """WITH p AS (SELECT user_id AS u, CAST(ts AS DATE) AS d, CAST(hour(ts)*2 + floor(minute(ts)/30) + 1 AS INTEGER) AS tp,
+         max({'t': ts, 'price': value*2 - 20}).price AS price FROM events GROUP BY 1, 2, 3),
+       v AS (SELECT l_suppkey AS u, DATE '2024-01-01' + CAST(l_orderkey % 30 AS INTEGER) AS d, CAST(l_partkey % 48 + 1 AS INTEGER) AS tp,
+         sum(CASE WHEN l_returnflag <> 'R' THEN l_quantity*100 ELSE 0 END)/500 AS offtake_mw FROM lineitem GROUP BY 1, 2, 3)
+       SELECT 'N' || e.u AS poc_code, e.d AS trading_date, e.tp AS event_tp, c.tp AS tp_number, c.price AS price_nzd_mwh, v.offtake_mw
+       FROM p e JOIN p c ON c.u = e.u AND c.d = e.d AND c.tp BETWEEN e.tp - 6 AND e.tp + 6
+       LEFT JOIN v ON v.u = c.u AND v.d = c.d AND v.tp = c.tp WHERE e.price > 300""",
 )
 def event_windows(spark, sf):
     context = s.price_context(spark, sf)

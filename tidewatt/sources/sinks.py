@@ -112,7 +112,7 @@ def counted_by_period(df: DataFrame, write, period: str) -> DataFrame:
     period must hold digits, six at least, such as YYYYMM. The counts are an observed histogram with room for a bin per period, so none
     are merged; nulls are counted under a null period.
     """
-    seen, number = Observation(), F.col(period).cast("long")
+    seen, number = Observation(), F.col(period).try_cast("long")
     write(df.observe(seen, F.histogram_numeric(number.cast("double"), F.lit(MOST_PERIODS)).alias("bins"),
                      F.count_if(number.isNull()).alias("nulls"), F.count_if(F.col(period).isNotNull() & number.isNull()).alias("bad")))
     found, counts = seen.get, {}
