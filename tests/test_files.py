@@ -5,7 +5,7 @@ from datetime import date
 
 import pytest
 
-from tests import month
+from tests import market
 from tidewatt import schemas
 from tidewatt.plans import quality
 from tidewatt.schemas import FILE_NAMES, MTIME
@@ -13,28 +13,28 @@ from tidewatt.sources import files
 
 
 def test_scans_tag_and_rename(spark, workdir):
-    month.write_all(workdir)
-    raw = month.read_all(spark, workdir)
+    market.publish(spark, workdir)
+    raw = market.scanned(spark, workdir)
     assert raw["raw_generation"].columns == [*schemas.GENERATION.values(), "trading_month", MTIME]
-    assert raw["raw_market_volume"].select("trading_month").distinct().collect()[0][0] == "202401"
-    assert raw["raw_market_volume"].count() == 6200  # gzip
-    assert raw["raw_offers"].select("trading_month").distinct().collect()[0][0] == "202401"
+    assert raw["raw_market_volume"].select("trading_month").distinct().collect()[0][0] == "202306"
+    assert raw["raw_market_volume"].count() == 2 * 3 * 30 * 48  # gzip
+    assert raw["raw_offers"].select("trading_month").distinct().collect()[0][0] == "202306"
     hydro = raw["raw_hydro_storage"]
     assert hydro.columns == ["site_code", *schemas.HYDRO.values(), MTIME]
-    assert hydro.first().site_code == "NI_TPO"
+    assert hydro.first().site_code == "SI_TKA"
     assert "poc_code" in raw["raw_nsp"].columns
 
 
 def test_other_files_are_left_out(spark, workdir):
-    month.put(f"{workdir}/202401_FinalEnergyPrices.csv", schemas.PRICE, month.prices(month.DAYS[:1]))
-    month.put(f"{workdir}/notes.csv", schemas.PRICE, month.prices(month.DAYS[:1]))
-    assert files.scan_price(spark, workdir).count() == 100
+    market.put(f"{workdir}/202306_FinalEnergyPrices.csv", schemas.PRICE, market.prices(spark, 1))
+    market.put(f"{workdir}/notes.csv", schemas.PRICE, market.prices(spark, 1))
+    assert files.scan_price(spark, workdir).count() == 3 * 48
 
 
 def test_wrong_header_and_bad_rows_fail(spark, workdir):
     header = list(schemas.VOLUME)
     header[0], header[1] = header[1], header[0]
-    month.put(f"{workdir}/202401_ReconciledInjectionAndOfftake.csv", header, month.volumes()[:3])
+    market.put(f"{workdir}/202401_ReconciledInjectionAndOfftake.csv", header, market.volumes(spark, 1)[:3])
     with pytest.raises(Exception, match="header"):
         files.scan_volume(spark, workdir).collect()
     with pytest.raises(Exception, match="header"):
@@ -43,7 +43,7 @@ def test_wrong_header_and_bad_rows_fail(spark, workdir):
 
 def test_bad_row_modes(spark, workdir):
     path = f"{workdir}/202401_FinalEnergyPrices.csv"
-    month.put(path, schemas.PRICE, [["2024-01-01", 1, "A", "1"], ["2024-01-01", 2, "A", "2", "extra"]])
+    market.put(path, schemas.PRICE, [["2024-01-01", 1, "A", "1"], ["2024-01-01", 2, "A", "2", "extra"]])
     for use in (lambda d: d.collect(), lambda d: d.count(), lambda d: d.select("trading_date").collect()):
         with pytest.raises(Exception):
             use(files.scan_price(spark, workdir))
@@ -54,7 +54,7 @@ def test_bad_row_modes(spark, workdir):
 
 
 def test_null_tokens_and_nul_bytes(spark, workdir):
-    month.put(f"{workdir}/202401_FinalEnergyPrices.csv", schemas.PRICE,
+    market.put(f"{workdir}/202401_FinalEnergyPrices.csv", schemas.PRICE,
               [["2024-01-01", 1, "A", "NULL"], ["2024-01-01", 2, "A\x00B", ""], ["2024-01-01", 3, "A", "null"]])
     rows = files.scan_price(spark, workdir, tokens=("", "NULL", "null")).orderBy("trading_period").collect()
     assert [r.dollars_per_mwh for r in rows] == [None, None, None]
@@ -88,7 +88,7 @@ def violations(spark, path, contract, kind):
 
 
 def test_clean_files_meet_their_contracts(spark, workdir):
-    month.write_all(workdir)
+    market.publish(spark, workdir)
     assert violations(spark, f"{workdir}/price", quality.price_contract(), "price") == set()
     assert violations(spark, f"{workdir}/volume", quality.volume_contract(), "volume") == set()
     assert violations(spark, f"{workdir}/offers", quality.offers_contract(), "offers") == set()
@@ -96,34 +96,34 @@ def test_clean_files_meet_their_contracts(spark, workdir):
 
 
 def test_price_contract_reports_each_fault(spark, workdir):
-    rows = month.prices(month.DAYS[:1])
+    rows = market.prices(spark, 1)
     rows[0][0], rows[1][1], rows[2][3], rows[3][3], rows[4] = "2024-02-01", "51", "abc", "null", rows[4][:3]
     rows[5][1] = "x"
-    month.put(f"{workdir}/202401_FinalEnergyPrices.csv", schemas.PRICE, rows)
+    market.put(f"{workdir}/202306_FinalEnergyPrices.csv", schemas.PRICE, rows)
     found = violations(spark, workdir, quality.price_contract(), "price")
     assert {r for r, _ in found} == {"month", "trading_period", "price", "columns"}
     assert {v for r, v in found if r == "trading_period"} == {"51", "x"}
 
 
 def test_header_size_and_name(spark, workdir):
-    month.put(f"{workdir}/prices.csv", ["a", "b", "c", "d"], month.prices(month.DAYS[:1])[:5])
+    market.put(f"{workdir}/prices.csv", ["a", "b", "c", "d"], market.prices(spark, 1)[:5])
     rules = {r for r, _ in violations(spark, workdir, quality.price_contract(), "price")}
     assert {"header", "row_count", "file_name"} <= rules
 
 
 def test_generation_contract(spark, workdir):
-    rows = month.generation()
+    rows = market.generation(spark)
     rows[0][4], rows[1][10], rows[2][11] = "Peat", "12x", "NULL"
-    month.put(f"{workdir}/202401_Generation_MD.csv", schemas.GENERATION, rows)
+    market.put(f"{workdir}/202306_Generation_MD.csv", schemas.GENERATION, rows)
     found = violations(spark, workdir, quality.generation_contract(), "generation")
     assert found == {("fuel_code", "Peat"), ("tp4", "12x")}
 
 
 def test_offers_unit_only_needed_for_energy(spark, workdir):
-    rows = month.offers()
+    rows = market.offers(spark)
     rows[0][4], rows[1][4], rows[1][5] = "", "", "Reserve"
     rows[2][12] = "maybe"
-    month.put(f"{workdir}/20240115_Offers.csv", schemas.OFFERS, rows)
+    market.put(f"{workdir}/20230617_Offers.csv", schemas.OFFERS, rows)
     found = violations(spark, workdir, quality.offers_contract(), "offers")
     assert found == {("unit", None), ("is_latest", "maybe")}
 
@@ -145,14 +145,14 @@ def test_plan_files(spark):
 def test_headers_in_two_spellings(spark, workdir):
     from tidewatt.sources import lines
 
-    month.put(f"{workdir}/NI_AA_Storage_x.csv", ["Date", "Active storage (Mm³)"], [["2024-01-01", "5"]])
-    month.put(f"{workdir}/NI_BB_Storage_x.csv.gz", ["﻿Active storage (Mm3) ", "Date"], [["7", "2024-01-02"]])
+    market.put(f"{workdir}/NI_AA_Storage_x.csv", ["Date", "Active storage (Mm³)"], [["2024-01-01", "5"]])
+    market.put(f"{workdir}/NI_BB_Storage_x.csv.gz", ["﻿Active storage (Mm3) ", "Date"], [["7", "2024-01-02"]])
     open(f"{workdir}/NI_CC_Storage_x.csv", "w").close()
     got = files.scan_lakes(spark, workdir, r"/(\w\w_\w\w)_Storage_").select("site_code", "date_str", "active_storage_mm3", "level_m").collect()
     assert {tuple(r) for r in got} == {("NI_AA", "2024-01-01", "5", None), ("NI_BB", "2024-01-02", "7", None)}
     heads = lines.headers(files.list_files(spark, workdir)).collect()
     assert {tuple(r.columns) for r in heads} == {("Date", "Active storage (Mm3)"), ("Active storage (Mm3)", "Date")}
-    month.put(f"{workdir}/NI_DD_Storage_x.csv", ["Date", "Active storage (Mm³)"], [["2024-01-01", "5", "6"]])
+    market.put(f"{workdir}/NI_DD_Storage_x.csv", ["Date", "Active storage (Mm³)"], [["2024-01-01", "5", "6"]])
     for use in (lambda d: d.count(), lambda d: d.select("date_str").collect()):
         with pytest.raises(Exception, match="wrong number of fields"):
             use(files.scan_lakes(spark, workdir))

@@ -1,4 +1,4 @@
-"""The documented month through files, models, checks and refreshes, against hand-derived answers."""
+"""The small market of tests/market.py through files, models, checks and refreshes, against hand-derived answers."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from tests import month
+from tests import market
 from tidewatt import schemas
 from tidewatt.operators.joins import compare
 from tidewatt.plans import build, core, marts, quality, serving, staging
@@ -17,15 +17,15 @@ from tidewatt.streaming import incremental
 
 
 @pytest.fixture(scope="module")
-def base(tmp_path_factory):
-    path = str(tmp_path_factory.mktemp("month"))
-    month.write_all(path)
+def base(spark, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("market"))
+    market.publish(spark, path)
     return path
 
 
 @pytest.fixture(scope="module")
 def tables(spark, base, tmp_path_factory):
-    return build.build_all(spark, month.read_all(spark, base), str(tmp_path_factory.mktemp("warehouse")))
+    return build.build_all(spark, market.scanned(spark, base), str(tmp_path_factory.mktemp("warehouse")))
 
 
 def one(df):
@@ -35,50 +35,52 @@ def one(df):
 
 
 def test_generation(tables):
-    assert tables["stg_generation"].count() == 6200
+    """Plants make 7,920 times their weight: 100, 40, and at one site 20 and 60."""
+    assert tables["stg_generation"].count() == 4 * 30 * 48
     totals = {r.site_code: r.k for r in tables["fct_generation"].groupBy("site_code").agg(F.sum("generation_kwh").alias("k")).collect()}
-    assert totals == {"CI_HYD": 1973925, "CI_GAS": 1121425, "CI_WIN": 764925, "CI_SOL": 392925}
+    assert totals == {"Alpine": 792_000, "Bayside": 316_800, "Corner": 633_600}
     ratio = one(tables["mart_renewable_ratio"])
-    assert (ratio.total_kwh, ratio.renewable_kwh, ratio.renewable_pct) == (4253200, 3131775, 73.63)
+    assert (ratio.total_kwh, ratio.renewable_kwh, ratio.renewable_pct) == (1_742_400, 1_425_600, 81.82)  # 180 of 220 weights
     ranks = tables["mart_plant_ranking"].orderBy("monthly_rank").collect()
-    assert [r.site_code for r in ranks] == ["CI_HYD", "CI_GAS", "CI_WIN", "CI_SOL"]
-    assert [r.monthly_rank for r in ranks] == [1, 2, 3, 4]
+    assert [(r.monthly_rank, r.site_code, r.primary_fuel_type) for r in ranks] == [
+        (1, "Alpine", "Hydro"), (2, "Corner", "Geothermal"), (3, "Bayside", "Coal")]
 
 
 def test_prices(tables):
-    assert tables["fct_price"].count() == 3100
+    assert tables["fct_price"].count() == 3 * 30 * 48
     assert {r.pricing_regime for r in tables["fct_price"].select("pricing_regime").distinct().collect()} == {"real_time"}
     audit = {(r.poc_code, r.trading_date.day, r.trading_period, r.outlier_type) for r in tables["stg_price_outlier_audit"].collect()}
-    assert audit == {("POC_NI", 15, 18, "positive_spike"), ("POC_SI", 20, 22, "negative_price")}
+    assert audit == {("COR0111", 17, 31, "positive_spike"), ("ALP0331", 9, 5, "negative_price")}
     spike = one(tables["mart_price_spike_events"])
-    assert (spike.total_generation_kwh, spike.renewable_generation_kwh, spike.thermal_generation_kwh) == (1976, 1263, 713)
+    # (7 * 17 + 31) mod 10 + 1 = 1, so the wind and the steam of Corner make 20 and 60.
+    assert (spike.total_generation_kwh, spike.renewable_generation_kwh, spike.thermal_generation_kwh) == (80, 80, 0)
     assert not spike.unmatched_generation and spike.island == "NI"
 
 
 def test_volume_offers_context(tables):
-    assert tables["fct_market_volume"].count() == 3100
-    assert tables["stg_energy_offer"].count() == 300
-    assert tables["mart_offer_curve"].count() == 100
-    at = "poc_code = 'POC_NI' AND tp_number = 18 AND trading_date = '2024-01-15'"
+    assert tables["fct_market_volume"].count() == 3 * 30 * 48
+    assert tables["stg_energy_offer"].count() == 2 * 48 * 4
+    assert tables["mart_offer_curve"].count() == 2 * 48
+    at = "poc_code = 'COR0111' AND tp_number = 31 AND trading_date = '2023-06-17'"
     v = one(tables["fct_market_volume"].filter(at))
-    assert (v.offtake_kwh, round(v.injection_kwh, 6), round(v.net_injection_kwh, 6)) == (3900.0, 3198.0, -702.0)
+    assert (v.offtake_kwh, v.injection_kwh, v.net_injection_kwh) == (1310.0, 655.0, -655.0)
     c = one(tables["mart_offer_curve"].filter(at))
     got = [c.total_offered_mw, c.offered_mw_at_or_below_100, c.offered_mw_at_or_below_300, c.offered_mw_at_or_below_500]
-    assert [round(x, 6) for x in got] == [268.2, 110.6, 233.2, 233.2]
-    assert round(c.cheap_offer_share_below_300, 4) == 0.8695
-    assert round(c.weighted_avg_offer_price_nzd_mwh, 4) == 143.6191
-    assert round(c.max_cumulative_offered_mw, 6) == 268.2
+    assert got == [250.0, 25.0, 75.0, 75.0]  # at 60, 240, 540 and 960
+    assert round(c.cheap_offer_share_below_300, 6) == 0.3
+    assert round(c.weighted_avg_offer_price_nzd_mwh, 6) == 600.0  # (1500 + 12000 + 40500 + 96000) / 250
+    assert c.max_cumulative_offered_mw == 250.0
     x = one(tables["mart_price_offer_context"].filter(at))
-    assert round(x.offered_to_offtake_ratio, 4) == 34.3846
+    assert round(x.offered_to_offtake_ratio, 4) == 95.4198  # 250 / 2.62
 
 
 def test_hydro_nodes_dates(tables):
     h = one(tables["mart_hydro_price_driver"])
-    assert (h.island, h.year_month, h.observation_days) == ("NI", "202401", 31)
-    assert [round(x, 6) for x in (h.avg_total_storage_mm3, h.min_storage_mm3, h.max_storage_mm3)] == [598.0, 571.75, 624.25]
+    assert (h.island, h.year_month, h.observation_days) == ("SI", "202306", 30)
+    assert [round(x, 6) for x in (h.avg_total_storage_mm3, h.min_storage_mm3, h.max_storage_mm3)] == [331.0, 302.0, 360.0]
     assert h.storage_pct_of_max == 100.0
     nodes = {r.poc_code: (r.island, r.nsp_code, r.nztm_easting) for r in tables["dim_node"].collect()}
-    assert nodes == {"POC_NI": ("NI", "NSP_NI", 1765001), "POC_SI": ("SI", "NSP_SI", 1765001)}
+    assert nodes == {"ALP0331": ("SI", "ALP_A", 1_500_001), "BAY0221": ("NI", "BAY_A", 1_500_001), "COR0111": ("NI", "COR_A", 1_500_001)}
     d = tables["dim_date"]
     assert d.count() == 5478
     assert d.agg(F.max("trading_date")).first()[0] == date(2030, 12, 30)
@@ -87,13 +89,14 @@ def test_hydro_nodes_dates(tables):
 
 def test_features_and_anomalies(tables):
     kinds = {(r.poc_code, r.trading_date.day, r.tp_number): r.anomaly_type for r in tables["mart_price_anomaly_events"].collect()}
-    assert kinds[("POC_NI", 15, 18)] == "positive_spike" and kinds[("POC_SI", 20, 22)] == "negative_price"
+    assert kinds[("COR0111", 17, 31)] == "positive_spike" and kinds[("ALP0331", 9, 5)] == "negative_price"
     f = tables["mart_price_spike_features"]
-    assert f.count() == 3100
-    first = one(f.filter("poc_code = 'POC_NI' AND trading_date = '2024-01-01' AND tp_number = 1"))
-    assert first.previous_tp_price is None and first.rolling_7d_avg_price is None and first.is_nz_holiday
-    day2 = one(f.filter("poc_code = 'POC_NI' AND trading_date = '2024-01-02' AND tp_number = 1"))
-    assert day2.previous_tp_price == round(month.price("POC_NI", date(2024, 1, 1), 50), 2)
+    assert f.count() == 3 * 30 * 48
+    at = lambda day, tp: one(f.filter(f"poc_code = 'BAY0221' AND trading_date = '2023-06-{day:02}' AND tp_number = {tp}"))
+    first = at(1, 1)
+    assert first.previous_tp_price is None and first.rolling_7d_avg_price is None and not first.is_nz_holiday
+    assert at(2, 1).previous_tp_price == 90.0  # the 48th half hour, which begins a cycle
+    assert at(5, 1).is_nz_holiday
 
 
 def test_schema_checks(spark, tables):
@@ -108,7 +111,7 @@ def test_checks_catch_planted_faults(spark, tables):
     twice = price.unionByName(price.limit(1))
     assert quality.duplicate_keys(twice, ["poc_code", "trading_date", "tp_number"]).count() == 1
     assert quality.count_mismatch(tables["stg_price"], twice, []).first().diff_rows == -1
-    assert quality.low_match_rate(price, tables["dim_node"].filter("poc_code = 'POC_NI'"), "poc_code").first().match_rate == 0.5
+    assert quality.low_match_rate(price, tables["dim_node"].filter("poc_code = 'BAY0221'"), "poc_code").first().match_rate == pytest.approx(1 / 3)
     assert quality.rows_per_period(tables["stg_generation"], "trading_month", 1, 10).count() == 1
     assert [r.period for r in quality.missing_periods(
         spark, spark.createDataFrame([("202401",), ("202403",)], "period string"), "period", "202312", "202403"
@@ -116,10 +119,10 @@ def test_checks_catch_planted_faults(spark, tables):
 
 
 def test_incremental_equals_full_rebuild(spark, base, tables, tmp_path):
-    raw = month.read_all(spark, base)
+    raw = market.scanned(spark, base)
     early = dict(raw)
     for name, col in (("raw_price", "trading_date"), ("raw_market_volume", "trading_date"), ("raw_generation", "trading_date")):
-        early[name] = raw[name].filter(F.col(col) <= "2024-01-20")
+        early[name] = raw[name].filter(F.col(col) <= "2023-06-20")
     path = str(tmp_path)
     build.build_all(spark, early, path)
     got = build.build_all(spark, raw, path, incremental_run=True)
@@ -130,8 +133,8 @@ def test_incremental_equals_full_rebuild(spark, base, tables, tmp_path):
 
 def test_correction_below_threshold(spark, base, tmp_path):
     """A corrected spike stays after a keyed upsert and leaves with an exact window refresh."""
-    prices = staging.stg_price(month.read_all(spark, base)["raw_price"])
-    node = core.dim_node(staging.stg_nsp(month.read_all(spark, base)["raw_nsp"]))
+    prices = staging.stg_price(market.scanned(spark, base)["raw_price"])
+    node = core.dim_node(staging.stg_nsp(market.scanned(spark, base)["raw_nsp"]))
     empty = core.int_generation_by_poc(staging.stg_generation(
         spark.createDataFrame([], schemas.RAW_TABLES["raw_generation"]),
         spark.createDataFrame([("x", "x", False)], "raw_fuel_code string, fuel_type string, is_renewable boolean"),
@@ -153,15 +156,15 @@ def test_serving_pages(spark, tables):
         tables["mart_generation_monthly"], tables["mart_renewable_ratio"], tables["mart_price_daily"],
         tables["mart_price_spike_events"],
     ))
-    assert (kpis.year_month, kpis.top_fuel, kpis.yoy_pct, kpis.spike_events) == ("202401", "Hydro", None, 1)
+    assert (kpis.year_month, kpis.top_fuel, kpis.yoy_pct, kpis.spike_events) == ("202306", "Hydro", None, 1)
     labels = serving.event_list(serving.spike_context(tables["mart_price_offer_context"], tables["dim_node"]))
-    assert [r.event_label for r in labels.collect()] == ["2024-01-15 TP18 | POC_NI | $450/MWh"]
-    window = serving.context_window(tables["mart_price_offer_context"], "POC_NI", date(2024, 1, 15), -3, 4)
+    assert [r.event_label for r in labels.collect()] == ["2023-06-17 TP31 | COR0111 | $780/MWh"]
+    window = serving.context_window(tables["mart_price_offer_context"], "COR0111", date(2023, 6, 17), -3, 4)
     assert [r.tp_number for r in window.collect()] == [1, 2, 3, 4]
     spread = serving.island_spread(tables["mart_price_daily"])
-    assert spread.count() == 31 and one(serving.spread_summary(spread)).dearer == "North Island"
+    assert spread.count() == 30 and one(serving.spread_summary(spread)).dearer == "North Island"
     trend = serving.renewable_trend(tables["mart_renewable_ratio"]).collect()
-    assert [r.rolling_pct for r in trend] == [73.63]  # one month: the minimum shrinks to one
+    assert [r.rolling_pct for r in trend] == [81.82]  # one month: the minimum shrinks to one
     assert serving.top_stations(tables["mart_plant_ranking"], n=2).count() == 2
 
 
@@ -190,5 +193,5 @@ def test_telemetry(spark, tmp_path):
 def test_load_counts(spark, base, tmp_path):
     raw = files.scan_price(spark, f"{base}/price")
     n = sinks.write_counted(raw, lambda d: sinks.replace_period(d, str(tmp_path / "p"), "trading_month"))
-    assert n == 3100
-    assert [tuple(r) for r in sinks.load_report(spark.read.parquet(str(tmp_path / "p")), "trading_month").collect()] == [("202401", 3100)]
+    assert n == 4320
+    assert [tuple(r) for r in sinks.load_report(spark.read.parquet(str(tmp_path / "p")), "trading_month").collect()] == [("202306", 4320)]
