@@ -5,7 +5,10 @@ from __future__ import annotations
 import math
 import os
 import random
+import subprocess
+import sys
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -119,15 +122,36 @@ def test_banded_distance():
             assert line_dedup.within(a, b, k) == (plain.distance(a, b) <= k)
 
 
-def test_tiles_against_search():
+def found_tiles(docs, items, seed):
+    """{(text, item): (covered words, tiles)} by the operator's core, whatever share is covered."""
+    block = decontaminate._seeds(pa.table({"item_id": list(range(len(items))), "text": items}), seed)
+    part = pa.RecordBatch.from_pydict({"text": pa.array(docs, pa.string())})
+    return {(d, i): (n, k) for d, i, n, _, k in decontaminate._found(part, block, seed, 0)}
+
+
+def test_tiles_against_search(monkeypatch):
     rng = random.Random(4)
-    for _ in range(60):
-        doc, item = ([rng.choice("abc") for _ in range(rng.randint(1, 25))] for _ in range(2))
-        hits = [(d, i) for d in range(len(doc) - 1) for i in range(len(item) - 1) if doc[d:d + 2] == item[i:i + 2]]
-        at = np.array(hits, dtype=np.int64).reshape(-1, 2)
-        got = decontaminate.tiles(at[:, 0], at[:, 1], 2) if hits else []
-        assert sum(n for *_, n in got) == plain.tile_cover(doc, item, 2)
-        assert all(doc[d:d + n] == item[i:i + n] for d, i, n in got)
+    for n in range(60):
+        monkeypatch.setattr(decontaminate, "MATCHES_AT_ONCE", rng.choice([1, 7, 1 << 20]))
+        docs, items = ([[rng.choice("abc"[:rng.randint(1, 3)]) for _ in range(rng.randint(0, 25))] for _ in range(3)] for _ in "di")
+        got = found_tiles([" ".join(x) for x in docs], [" ".join(x) for x in items], 2)
+        want = {(d, i): plain.tile_cover(x, y, 2) for d, x in enumerate(docs) for i, y in enumerate(items)}
+        assert {k: c for k, (c, _) in got.items()} == {k: c for k, c in want.items() if c}
+
+
+def test_tiles_of_a_very_repetitive_text():
+    """A million equal words against an item of equal words: bounded memory, in a process of its own."""
+    code = """if True:
+        import resource, time, pyarrow as pa
+        from tidewatt.llm import decontaminate as d
+        items = ["a " * 200, "a b " * 60, "x y z " * 20 + "a " * 30]
+        block = d._seeds(pa.table({"item_id": [0, 1, 2], "text": items}), 5)
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        part = pa.RecordBatch.from_pydict({"text": ["a " * 1_000_000, "a b " * 100_000]})
+        print(sorted(d._found(part, block, 5, 20)), (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) // 1024)"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300, check=True, cwd=Path(__file__).parents[2]).stdout
+    found, mb = out.strip().rsplit(" ", 1)
+    assert found == "[(0, 0, 200, 200, 1), (0, 2, 30, 90, 1), (1, 1, 120, 120, 1)]" and int(mb) < 500, out
 
 
 def test_decontamination(spark, nothing):
