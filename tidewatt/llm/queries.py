@@ -176,3 +176,54 @@ out AS (SELECT doc_id, bool_and(v.v <= high + greatest({quality.FENCE} * (high -
   FROM v JOIN q ON q.l = v.l AND q.s = v.s AND q.r = v.r GROUP BY doc_id)
 SELECT b.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND coalesce(inside, true) AS kept
 FROM b LEFT JOIN out ON out.doc_id = b.doc_id"""
+
+
+# CRC-32 of a short text, byte by byte and bit by bit.
+_CRC_SQL = """xor(list_reduce([4294967295::UBIGINT] || [ascii(c)::UBIGINT FOR c IN string_split({0}, '')], lambda a, b:
+  list_reduce([xor(a, b)] || [0::UBIGINT, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384::UBIGINT) ELSE x >> 1 END)),
+  4294967295::UBIGINT)"""
+
+
+def _levels_sql(name: str, group: str, n: int) -> str:
+    """CTEs name1 .. name<n>: the nodes (group, i, h) of each level above name0; a level with one node stays as it is."""
+    parts = []
+    for k in range(1, n + 1):
+        last = f"{name}{k - 1}"
+        parts.append(f"""{name}{k} AS MATERIALIZED (SELECT {group}, i // 16 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM {last}
+  WHERE ({group}) IN (SELECT {group} FROM {last} GROUP BY {group} HAVING count(*) > 1) GROUP BY {group}, i // 16
+  UNION ALL SELECT {group}, i, h FROM {last} WHERE ({group}) IN (SELECT {group} FROM {last} GROUP BY {group} HAVING count(*) = 1))""")
+    return ",\n".join(parts)
+
+
+def _way_sql(name: str, group: str, n: int) -> str:
+    """CTEs name_s0 .. : the nodes before (b) and after (a) each node in its run; name_p: the way up of each node of level 0."""
+    parts = [f"""{name}_s{k} AS MATERIALIZED (SELECT x.{group}, x.i, coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i < x.i), '') AS b,
+  coalesce(string_agg(y.h, '' ORDER BY y.i) FILTER (WHERE y.i > x.i), '') AS a, count(y.i) > 0 AS up, max(c.n) > 1 AS higher
+  FROM {name}{k} x JOIN (SELECT {group}, count(*) AS n FROM {name}{k} GROUP BY {group}) c ON c.{group} = x.{group}
+  LEFT JOIN {name}{k} y ON y.{group} = x.{group} AND y.i // 16 = x.i // 16 AND y.i <> x.i GROUP BY x.{group}, x.i)""" for k in range(n)]
+    way = " || ".join(f"CASE WHEN s{k}.higher THEN [{{'b': s{k}.b, 'a': s{k}.a}}] ELSE [] END" for k in range(n))
+    joins = " ".join(f"JOIN {name}_s{k} s{k} ON s{k}.{group} = x.{group} AND s{k}.i = CASE WHEN {' AND '.join(f's{j}.higher' for j in range(k)) or 'true'} "
+                     f"THEN x.i // {16 ** k} ELSE 0 END" for k in range(n))
+    parts.append(f"{name}_p AS MATERIALIZED (SELECT x.{group}, x.i, {way} AS way FROM {name}0 x {joins})")
+    return ",\n".join(parts)
+
+
+# Levels enough for 16 ** 5 rows a source and 16 ** 3 sources.
+_FIELD_SQL = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || {0}, '-')"
+_LEAF_SQL = " || ".join(_FIELD_SQL.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}"))
+SQL["op12_merkle_manifest"] = f"""
+WITH d AS (SELECT *, CASE WHEN {_CRC_SQL.format("CAST(doc_id AS VARCHAR)")} % 5 = 0 THEN {LOWERED} ELSE text END AS found FROM documents),
+l AS MATERIALIZED (SELECT doc_id, coalesce('=' || source, '-') AS s, sha256({_LEAF_SQL.format("text")}) AS h,
+  sha256({_LEAF_SQL.format("found")}) AS other FROM d),
+r AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, h) - 1 AS i FROM l),
+t0 AS MATERIALIZED (SELECT s, i, h FROM r),
+{_levels_sql("t", "s", 5)},
+{_way_sql("t", "s", 5)},
+u0 AS MATERIALIZED (SELECT 0 AS g, row_number() OVER (ORDER BY s) - 1 AS i, h, s FROM t5),
+{_levels_sql("u", "g", 3)},
+{_way_sql("u", "g", 3)},
+f AS (SELECT r.doc_id, r.h AS leaf, r.other, t5.h AS subroot, u3.h AS root, t_p.way || u_p.way AS way
+  FROM r JOIN t_p ON t_p.s = r.s AND t_p.i = r.i JOIN t5 ON t5.s = r.s JOIN u0 ON u0.s = r.s JOIN u_p ON u_p.i = u0.i, u3)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string([x.b || x.a FOR x IN way], '')) AS proof_sha256,
+  list_reduce([{{'b': other, 'a': ''}}] || way, lambda m, x: {{'b': sha256(x.b || m.b || x.a), 'a': ''}}).b AS folded_root,
+  folded_root = root AS verified FROM f"""

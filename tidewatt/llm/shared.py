@@ -36,13 +36,37 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Paths of the scratch tables made inside passed(), innermost last.
+_MADE: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str, *partition: str, **options) -> DataFrame:
     """Write to the shared folder and read back: cuts the lineage and survives lost executors."""
     path = scratch_path(df.sparkSession, name)
+    if _MADE:
+        _MADE[-1].append(path)
     df.write.options(**options).partitionBy(*partition).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def passed(spark: SparkSession, make, name: str) -> tuple[DataFrame, str]:
+    """(table, path) of what make() returns, written; the scratch tables it made on the way are removed."""
+    _MADE.append([])
+    try:
+        df = make()
+        path = scratch_path(spark, name)
+        df.write.parquet(path)
+    finally:
+        for made in _MADE.pop():
+            remove(spark, made)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def guarded(docs: DataFrame, *own: str):
     """(docs, restore): columns other than own get names that nothing clashes with; restore puts them back."""
     names = [c if c in own else f"other column {i}" for i, c in enumerate(docs.columns)]
