@@ -7,18 +7,20 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from registry import stand_ins as s
-from registry.base import query, r4, rounded, sql4, table
+from registry.base import SQL, query, r4, rounded, sql4, table
 from registry.ctes import DATE_KEY, SEASON, SEASON_YEAR, with_
 from tidewatt.functions import calendar as cal
 from tidewatt.functions.casts import lenient_int
 from tidewatt.functions.keys import date_key, surrogate_key
+from tidewatt.operators import prefix
 from tidewatt.operators.dedup import latest_per_key, newest
 from tidewatt.operators.joins import look_up, look_up_seed
-from tidewatt.operators.rolling import trailing_days
+from tidewatt.operators.rolling import day_moments, trailing_days
 from tidewatt.params import Params
 from tidewatt.plans import core, marts, staging
 from tidewatt.schemas import MTIME
-from tidewatt.sources import seeds
+from tidewatt.session import scratch_path
+from tidewatt.sources import seeds, sinks
 
 # ---- staging ---------------------------------------------------------------------------------
 
@@ -499,6 +501,39 @@ def rolling_shipments(spark, sf):
     )
 
 
+@query("rolling_kept_state", SQL["rolling_shipments"])
+def rolling_kept_state(spark, sf):
+    """The same frames in two loads: the second sees its own rows, the month before them, and the saved moments of days."""
+    columns = ["l_suppkey", "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity"]
+    l, second, path = table(spark, sf, "lineitem").select(*columns), cal.wall_second("l_shipdate"), scratch_path(spark, "moments")
+    since, keys = date(1998, 3, 1), ["l_suppkey"]
+    day = (since - date(1970, 1, 1)).days
+    before = l.filter(F.col("l_shipdate") < F.lit(since))
+    sinks.replace_all(day_moments(before, keys, second, "l_quantity"), path)
+    first = trailing_days(before, keys, second, "l_quantity", "mean", "sd")
+    saved = spark.read.parquet(path)
+    new = l.filter(F.col("l_shipdate") >= F.lit(since))
+    kept = saved.unionByName(day_moments(new, keys, second, "l_quantity"))
+    recent = l.filter(F.col("l_shipdate") >= F.date_sub(F.lit(since), 30))
+    rest = trailing_days(recent, keys, second, "l_quantity", "mean", "sd", kept=kept, since=day)
+    return rounded(first.unionByName(rest), "mean", "sd")
+
+
+@query(
+    "running_quantity",
+    """SELECT k, l_extendedprice, l_orderkey, l_linenumber, l_quantity, sum(l_quantity) OVER (PARTITION BY k
+         ORDER BY l_extendedprice, l_orderkey, l_linenumber, l_quantity, l_discount, l_tax ROWS UNBOUNDED PRECEDING) AS running
+       FROM (SELECT *, CASE WHEN l_suppkey % 3 = 0 THEN -1 ELSE l_suppkey % 10 END AS k FROM lineitem)""",
+    k="BIGINT",
+)
+def running_quantity(spark, sf):
+    """A running sum by price, in groups of which one has a third of all rows."""
+    l = table(spark, sf, "lineitem").withColumn("k", F.when(F.col("l_suppkey") % 3 == 0, F.lit(-1).cast("long")).otherwise(F.col("l_suppkey") % 10))
+    order = ["l_extendedprice", "l_orderkey", "l_linenumber", "l_quantity", "l_discount", "l_tax"]
+    found = prefix.running_sum_ranged(l.select("k", *order), ["k"], order, "l_quantity", "running")
+    return found.select("k", "l_extendedprice", "l_orderkey", "l_linenumber", "l_quantity", "running")
+
+
 CURVE = ("total_offered_mw", "avg_offer_price_nzd_mwh", "weighted_avg_offer_price_nzd_mwh",
          "max_cumulative_offered_mw", "cheap_offer_share_below_300")
 

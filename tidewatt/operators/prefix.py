@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewatt.session import scratch_path
+
 
 def _carry(df, keys, measure: Column, descending: bool) -> DataFrame:
     """Sum of `measure` over all earlier bands, per band."""
@@ -55,6 +57,29 @@ def running_sum(
     return joined.select(*df.columns, (F.col("_local") + _before()).alias(out))
 
 
+def running_sum_ranged(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str, out: str) -> DataFrame:
+    """SUM(value) from the first row of the group up to each row, in ascending `order`, for groups of any size and distribution.
+
+    Bands are the ranges of a range partitioning by keys and order, whose bounds Spark samples, so they hold about the same
+    number of rows whatever the values are. The ordered rows are written once to the shared folder, because the bounds
+    of a second sampling would differ. Columns of `order` may hold nulls, which come first; rows that are equal in all of
+    them follow each other in any order.
+    """
+    keys, order = list(keys), list(order)
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "running")
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    ranged.withColumn("_id", F.monotonically_increasing_id()).write.parquet(path)
+    rows = spark.read.parquet(path).withColumn("_band", F.shiftright("_id", 33))
+    inside = Window.partitionBy(*keys, "_band").orderBy("_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = rows.withColumn("_local", F.sum(value).over(inside))
+    carried = _carry(rows, keys, F.sum(value), False)
+    on = local["_band"] == carried["_band"]
+    for k in keys:
+        on = on & local[k].eqNullSafe(carried[k])
+    joined = local.join(carried, on, "left").select(*[local[c] for c in df.columns], "_local", "_carry")
+    return joined.select(*df.columns, (F.coalesce("_local", F.lit(0)) + _before()).alias(out))
+
+
 def _ranked(df, keys, order, band, out, fn, descending):
     keys = list(keys)
     banded = df.withColumn("_band", band)

@@ -72,6 +72,12 @@ def _stddev(m: str) -> Column:
     )
 
 
+def day_moments(df: DataFrame, keys: Sequence[str], second: Column, value: str) -> DataFrame:
+    """One row per key and day: count, mean, squares and range of value. Days of separate loads are simply put together."""
+    rows = df.withColumn("_day", F.floor(second / DAY))
+    return rows.groupBy(*keys, "_day").agg(*_moments(F.col(value), "_d"))
+
+
 def trailing_days(
     df: DataFrame,
     keys: Sequence[str],
@@ -80,11 +86,16 @@ def trailing_days(
     mean: str,
     stddev: str,
     days: int = 30,
+    kept: DataFrame | None = None,
+    since: int | None = None,
 ) -> DataFrame:
     """AVG and STDDEV_SAMP of `value` over [t - days, t - 1 second] per key.
 
     `second` is the event time in whole seconds. Slices are days: after trading-period
     deduplication a key has at most 50 rows a day, however long its series is.
+
+    A refresh gives kept, the day_moments of all days saved before and of the new ones, and since, the first day (in days
+    of the epoch) to compute; df then needs no rows before since - days, and only rows from since on come out.
     """
     keys = list(keys)
     x = F.col(value)
@@ -93,7 +104,7 @@ def trailing_days(
 
     # One row per key and day. Days are folded around the key's own mean, so that squares stay
     # small; a frame holds at most days - 1 of these rows.
-    daily = rows.groupBy(*keys, "_day").agg(*_moments(x, "_d"))
+    daily = kept if kept is not None else day_moments(df, keys, second, value)
     series = Window.partitionBy(*keys)
     between = series.orderBy("_day").rangeBetween(1 - days, -1)
     centre = F.sum(F.col("_d_n") * F.col("_d_mean")).over(series) / F.nullif(
@@ -116,6 +127,8 @@ def trailing_days(
     # Every row also visits the day it leaves the frame, as a copy without payload.
     payload = [c for c in rows.columns if c not in {*keys, "_day", "_tod", value}]
     copies = rows.withColumn("_shift", F.explode(F.array(F.lit(0), F.lit(days))))
+    if since is not None:
+        copies = copies.filter(F.col("_day") + F.col("_shift") >= since)
     own = F.col("_shift") == 0
     copies = copies.select(
         *keys,
