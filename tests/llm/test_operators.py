@@ -7,6 +7,7 @@ import os
 import random
 import subprocess
 import sys
+import time
 import zlib
 from pathlib import Path
 
@@ -322,6 +323,20 @@ def test_pseudonyms(spark, docs, rows, nothing):
     assert pseudonyms.pseudonymize(nothing, b"key").count() == 0
 
 
+def test_pseudonyms_of_many_values():
+    """Time grows with the number of values, not with its square; every value is replaced and restored."""
+    f = pseudonyms.Feistel(b"key")
+    spent = {}
+    for n in (4000, 32_000):
+        text = " ".join(f"10.{i // 65536}.{i // 256 % 256}.{i % 256} u{i}@host.org 2024-02-{i % 28 + 1:02}" for i in range(n))
+        begin = time.process_time()
+        out, counts = pseudonyms.pseudonymous(text, f)
+        spent[n] = time.process_time() - begin
+        assert (counts["addresses"], counts["emails"], counts["dates"]) == (n, n, n)
+    assert spent[32_000] < 24 * spent[4000] + 1, spent
+    assert pseudonyms.pseudonymous(out, f, True)[0] == text
+
+
 def test_pseudonyms_of_written_phones_and_timestamps():
     f = pseudonyms.Feistel(b"key")
     phones = ("+1 (017) 555-7713", "+1 (132) 555-1352", "+44 20 7946 0958", "+442079460958", "+44 (0)20 7946 0958", "+49 30 123456", "(020) 7946 0958",

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
@@ -277,20 +278,24 @@ def pseudonymous(text: str, feistel: Feistel, back: bool = False) -> tuple[str,
     counts = dict.fromkeys(NAMES, 0)
     if not _ANY.search(text):
         return text, counts
-    taken: list[tuple[int, int, str]] = []
+    taken: list[tuple[int, int, str]] = []  # in order, without overlaps
     for kind, pattern, make, needs in KINDS:
         if not any(x in text for x in ([needs] if needs == "AKIA" else needs)):
             continue
+        starts, fresh = [a for a, *_ in taken], []
         for m in pattern.finditer(text):
-            if any(a < m.end() and m.start() < b for a, b, _ in taken):
+            # The last span that begins before the match ends is the only one that can reach into it.
+            k = bisect_left(starts, m.end()) - 1
+            if k >= 0 and taken[k][1] > m.start() or fresh and fresh[-1][1] > m.start():
                 continue
             new = make(feistel, m, back)
             if new is not None:
                 new, end = new if isinstance(new, tuple) else (new, m.end())
-                taken.append((m.start(), end, new))
+                fresh.append((m.start(), end, new))
                 counts[kind] += 1
+        taken = sorted(taken + fresh) if fresh else taken
     out, at = [], 0
-    for a, b, new in sorted(taken):
+    for a, b, new in taken:
         out += [text[at:a], new]
         at = b
     return "".join([*out, text[at:]]), counts
