@@ -247,6 +247,23 @@ def test_packing_equals_the_round_robin(spark):
     assert all(abs(x - 2 / 3) <= packet / window for x in share[:len(share) // 2])
 
 
+def test_packing_tempers_the_mixture(spark):
+    """While all queues last, each window holds the shares of tokens ** 0.7, not those of the corpus."""
+    docs = [(i, "hot" if i % 10 else f"small{i % 3}", 100) for i in range(3000)]
+    frame = spark.createDataFrame(docs, "doc_id long, queue string, n_tokens long")
+    window, tokens = 1000, {"hot": 270_000, **{f"small{k}": 10_000 for k in range(3)}}
+    got = packing.schedule(frame, window=window, packet=50).collect()
+    size = {q: n ** 0.7 for q, n in tokens.items()}
+    planned = {q: n / sum(size.values()) for q, n in size.items()}
+    lasting = int(10_000 / planned["small0"] // window) - 1
+    reached = dict.fromkeys(tokens, 0)
+    for r in got:
+        if r.sequence_id < lasting:
+            reached[docs[r.doc_id][1]] += r.length
+    assert all(abs(n / (lasting * window) - planned[q]) < 0.02 for q, n in reached.items()) and planned["hot"] < 0.8 < 0.9 == 270_000 / 300_000
+    assert sum(r.length for r in got) == 300_000
+
+
 def test_training_order(spark, docs, rows, nothing, tokenizer, workdir):
     for n in (1, 2, 3, 5, 100, 4097):
         s = training_order.slots(np.arange(n), n, 7)

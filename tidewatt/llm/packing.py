@@ -26,6 +26,9 @@ from tidewatt.llm.tokens import tokenized
 
 WINDOW = 2048
 PACKET = 512
+# Exponent of a queue's tokens in its target share, where no weights are given: below 1 small sources get more than
+# their size, until they are used up.
+TEMPER = 0.7
 
 
 def before(column: str, window) -> F.Column:
@@ -48,15 +51,16 @@ def queue_places(docs: DataFrame) -> DataFrame:
 
 
 def schedule(docs: DataFrame, weights: Mapping[str, float] | None = None, window: int = WINDOW,
-             packet: int = PACKET) -> DataFrame:
+             packet: int = PACKET, temper: float = TEMPER) -> DataFrame:
     """(doc_id, start, length, sequence_id, offset): every token of docs (doc_id, queue, n_tokens) in one piece.
 
     weights: target proportions of queues; a queue without one has weight 0 and sends one token a round. By default
-    the proportions of the corpus, so that all queues last to the end.
+    the proportions of tokens ** temper; with temper 1 those of the corpus, so that all queues last to the end.
     """
     totals = docs.groupBy("queue").agg(F.sum("n_tokens").alias("tokens"))
     if weights is None:
-        share = F.col("tokens") / F.sum("tokens").over(Window.partitionBy())
+        size = F.pow("tokens", F.lit(temper))
+        share = size / F.sum(size).over(Window.partitionBy())
     else:
         pairs = [F.lit(x) for q, v in weights.items() for x in (q, float(v))]
         known = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,double>")
@@ -115,14 +119,14 @@ PIECE = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 
 
 def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, weights: Mapping[str, float] | None = None,
-         window: int = WINDOW, packet: int = PACKET, with_ids: bool = False) -> DataFrame:
+         window: int = WINDOW, packet: int = PACKET, with_ids: bool = False, temper: float = TEMPER) -> DataFrame:
     """Pieces of all documents: PIECE columns, ids (unsigned 32-bit, little-endian) if with_ids.
 
     A null or empty text is the end id alone; a null source is a queue of its own name ''. doc_id must be unique.
     An empty table has no pieces.
     """
     rows, dtype = tokenized(docs, tokenizer, end_id)
-    pieces = schedule(rows.select("doc_id", "queue", "n_tokens"), weights, window, packet)
+    pieces = schedule(rows.select("doc_id", "queue", "n_tokens"), weights, window, packet, temper)
     pieces = pieces.groupBy("doc_id").agg(F.sort_array(F.collect_list(
         F.struct("start", "length", "sequence_id", "offset"))).alias("pieces"))
     schema = ", ".join(f"{c} {'binary' if c == 'ids' else 'long'}" for c in PIECE[:8 if with_ids else 7])
