@@ -181,3 +181,12 @@ def test_equal_results_never_shuffle_rows(spark):
     other = spark.createDataFrame([(1, None), (None, 1), (None, 1)], "x int, y int")
     assert sorted(map(str, compare(nulls, other).collect())) == sorted(
         ["Row(x=1, y=None, side='left')", "Row(x=None, y=1, side='right')"])
+
+
+def test_kpis_of_spikes_read_the_tables_before_the_median(spark):
+    """The passes of the median go over the kept spikes; volumes and offers of other half hours are left out before they are grouped."""
+    import registry.dashboards as d
+
+    text = plan(contract.queries()["context_kpis"](spark, SF_DIR))
+    assert "lineitem.parquet" not in text and "events.parquet" not in text
+    assert plan(d.context_of_spikes(spark, SF_DIR)).count("LeftSemi") == 2
