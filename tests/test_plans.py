@@ -190,3 +190,8 @@ def test_kpis_of_spikes_read_the_tables_before_the_median(spark):
     text = plan(contract.queries()["context_kpis"](spark, SF_DIR))
     assert "lineitem.parquet" not in text and "events.parquet" not in text
     assert plan(d.context_of_spikes(spark, SF_DIR)).count("LeftSemi") == 2
+
+
+def test_event_windows_group_volumes_near_events_only(spark):
+    text = plan(contract.queries()["event_windows"](spark, SF_DIR))
+    assert "LeftSemi" in text and "events.parquet" not in text and text.count("lineitem.parquet") <= 1
