@@ -195,3 +195,9 @@ def test_kpis_of_spikes_read_the_tables_before_the_median(spark):
 def test_event_windows_group_volumes_near_events_only(spark):
     text = plan(contract.queries()["event_windows"](spark, SF_DIR))
     assert "LeftSemi" in text and "events.parquet" not in text and text.count("lineitem.parquet") <= 1
+
+
+def test_overview_groups_the_history_once(spark):
+    """The history is summed once into a few rows a month, which the figures of generation read."""
+    text = plan(contract.queries()["overview"](spark, SF_DIR))
+    assert "lineitem.parquet" not in text
