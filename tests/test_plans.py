@@ -201,3 +201,16 @@ def test_overview_groups_the_history_once(spark):
     """The history is summed once into a few rows a month, which the figures of generation read."""
     text = plan(contract.queries()["overview"](spark, SF_DIR))
     assert "lineitem.parquet" not in text
+
+
+def test_file_report_aggregates_broken_rules_only(spark, workdir):
+    """A line costs one narrow row and one per rule it breaks, not an aggregate per rule; odd cells are judged one by one."""
+    from tidewatt import schemas
+    from tidewatt.plans import quality
+
+    cells = ["1", "2.5", "", "NULL", "1|2", "1_000", " 7 ", ".5", "1e3", "x", "-3", "1.2.3"]
+    row = ["S", "N", "W", "G", "Hydro", "T", "2024-01-01", *cells, *["4"] * (schemas.PERIODS - len(cells))]
+    spark.createDataFrame([(",".join(schemas.GENERATION),), (",".join(row),)], "value string").coalesce(1).write.text(f"{workdir}/t")
+    df = quality.file_report(spark, f"{workdir}/t", quality.generation_contract(), r"^part-(\d+)-")
+    assert plan(df).count("partial_min(") <= 4
+    assert {(r.rule, r.line, r.value) for r in df.collect() if r.rule.startswith("tp")} == {("tp5", 2, "1|2"), ("tp10", 2, "x"), ("tp12", 2, "1.2.3")}

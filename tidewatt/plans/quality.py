@@ -267,6 +267,16 @@ def _no_number_or_null(c: str) -> Column:
     return (F.trim(t) != "") & (F.upper(F.trim(t)) != "NULL") & ~t.rlike(_NUMBER)
 
 
+# Cells that are plainly numbers, empty or null, each ended by a bar; a bar inside a cell makes one more, which does not match.
+_PLAIN_CELLS = r"^(?:(?:[0-9]++\.?+[0-9]*+|NULL|null)?+\|){%d}$" % schemas.PERIODS
+
+
+def _doubtful_cells() -> Column:
+    """Whether the cells of a line have to be looked at one by one."""
+    cells = [x for i in range(1, schemas.PERIODS + 1) for x in (_text(f"tp{i}"), F.lit("|"))]
+    return ~F.concat(*cells).rlike(_PLAIN_CELLS)
+
+
 def _no_period(c: str) -> Column:
     t = _text(c)
     number = F.when(t.rlike(_INTEGER), F.replace(F.trim(t), F.lit("_"), F.lit("")).try_cast("int"))
@@ -397,7 +407,8 @@ def _contract_lines(spark: SparkSession, path: str, contract: Contract, file_nam
     for source, target in contract.columns.items():
         is_header = is_header & F.col(target).eqNullSafe(F.lit(source))
     part = "file_name" if file_name.startswith("^") else "file_path"
-    return rows.withColumn("period", F.regexp_extract(part, file_name, 1)).withColumn("_header", is_header & F.col(BAD_ROW).isNull())
+    rows = rows.withColumn("period", F.regexp_extract(part, file_name, 1)).withColumn("_header", is_header & F.col(BAD_ROW).isNull())
+    return rows.withColumn("_doubtful", _doubtful_cells()) if contract.cells else rows
 
 
 def _row_rules(contract: Contract) -> list[tuple[str, Column, Column]]:
@@ -407,7 +418,7 @@ def _row_rules(contract: Contract) -> list[tuple[str, Column, Column]]:
     found = [("columns", body & F.col(BAD_ROW).isNotNull(), F.col(BAD_ROW))]
     found += [(name, whole & bad, F.col(column)) for name, column, bad in contract.rules]
     if contract.cells:
-        found += [(f"tp{i}", whole & _no_number_or_null(f"tp{i}"), F.col(f"tp{i}")) for i in range(1, schemas.PERIODS + 1)]
+        found += [(f"tp{i}", whole & F.col("_doubtful") & _no_number_or_null(f"tp{i}"), F.col(f"tp{i}")) for i in range(1, schemas.PERIODS + 1)]
     return found
 
 
@@ -430,16 +441,21 @@ def file_report(spark: SparkSession, path: str, contract: Contract, file_name: s
     number of lines and bytes. A file without any line is not seen. file_name is searched in the name of a file if it
     begins with ^, else in its path; its first group is the period.
     """
-    rules = _row_rules(contract)
-    counts = {"_headers": F.col("_header"), "_rows": ~F.col("_header")} | {f"_n_{n}": bad for n, bad, _ in rules}
-    firsts = {"_head": (F.col("_header"), F.lit("")), **{f"_first_{n}": (bad, value) for n, bad, value in rules}}
-    files = lines.per_file(
-        _contract_lines(spark, path, contract, file_name), "period", counts=counts, firsts=firsts, most=["file_size"])
-    found = [F.when(F.col(f"_n_{n}") > 0, _finding(n, F.col(f"_n_{n}"), F.col(f"_first_{n}.line"), F.col(f"_first_{n}.value")))
-             for n, _, _ in rules]
-    found += [F.when(bad, _finding(n, F.lit(1), F.lit(None), value)) for n, bad, value in _limits(contract)]
+    tags = ["period", "file_size"]
+    rules = lines.per_file(
+        _contract_lines(spark, path, contract, file_name), *tags, kind=F.when(F.col("_header"), "_headers").otherwise("_rows"),
+        firsts={n: (bad, value) for n, bad, value in _row_rules(contract)})
+    header, row = F.col("rule") == "_headers", F.col("rule") == "_rows"
+    # At most one entry per rule in a file's list.
+    files = rules.groupBy("file_path", *tags).agg(
+        F.coalesce(F.max(F.when(header, F.col("n"))), F.lit(0)).alias("_headers"),
+        F.coalesce(F.max(F.when(row, F.col("n"))), F.lit(0)).alias("_rows"),
+        F.struct(F.min(F.when(header, F.col("line"))).alias("line")).alias("_head"),
+        F.collect_list(F.when(~header & ~row, F.struct("rule", F.col("n").alias("violations"), "line", "value"))).alias("_found"))
+    whole = [F.when(bad, _finding(n, F.lit(1), F.lit(None), value)) for n, bad, value in _limits(contract)]
     name = F.element_at(F.split("file_path", "/"), -1).alias("file_name")
-    return files.select(name, "period", F.explode(F.array_compact(F.array(*found))).alias("_f")).select("file_name", "period", "_f.*")
+    return files.select(name, "period", F.explode(F.concat("_found", F.array_compact(F.array(*whole)))).alias("_f")).select(
+        "file_name", "period", "_f.*")
 
 
 def _finding(rule: str, violations: Column, line: Column, value: Column) -> Column:

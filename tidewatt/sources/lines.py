@@ -79,23 +79,25 @@ def headers(files: DataFrame, most_bytes: int = 1 << 16) -> DataFrame:
     return files.select("file_path").mapInArrow(run, "file_path string, header string, columns array<string>")
 
 
-def per_file(lines: DataFrame, *tags: str, counts: dict[str, Column], firsts: dict[str, tuple[Column, Column]],
-             most: Sequence[str] = ()) -> DataFrame:
-    """One row per file: lines, every count, and of every first (condition, value) the line number and value.
+def per_file(lines: DataFrame, *tags: str, kind: Column, firsts: dict[str, tuple[Column, Column]]) -> DataFrame:
+    """(file_path, tags, rule, n, line, value): per file, how often each of firsts (condition, value) holds, and the number
+    and value of the first line where it does; and the same of every kind, of which each line has one.
 
-    One aggregate per block of a file, which Spark does before its shuffle, then one over the few blocks of a file. tags are
-    columns that are the same on all lines of a file. most: columns of which the largest value is kept.
+    A line becomes one row for its kind and one per condition that holds, so what most lines meet costs no aggregate. One
+    aggregate per block of a file, which Spark does before its shuffle, then one over the few blocks of a file. tags are
+    columns that are the same on all lines of a file.
     """
-    first = [F.min(F.when(bad, F.struct("at", value.cast("string").alias("value")))).alias(n) for n, (bad, value) in firsts.items()]
-    blocks = lines.groupBy("file_path", *tags, "block").agg(
-        F.count("*").alias("_lines"), F.min("at").alias("_at"), *[F.count_if(c).alias(n) for n, c in counts.items()],
-        *[F.max(c).alias(c) for c in most], *first)
-    ordered = Window.partitionBy("file_path").orderBy("block")
-    before = F.sum("_lines").over(ordered) - F.col("_lines")  # lines of the blocks ahead
-    blocks = blocks.withColumn("_before", before)
-    placed = [F.when(F.col(n).isNotNull(), F.struct(
-        (F.col("_before") + F.col(f"{n}.at") - F.col("_at") + 1).alias("line"), F.col(f"{n}.value").alias("value"))).alias(n) for n in firsts]
-    blocks = blocks.select("file_path", *tags, "_lines", *counts, *most, *placed)
-    return blocks.groupBy("file_path", *tags).agg(
-        F.sum("_lines").alias("lines"), *[F.sum(n).alias(n) for n in counts], *[F.max(c).alias(c) for c in most],
-        *[F.min(n).alias(n) for n in firsts])
+    none = F.lit(None).cast("string")
+    own = F.struct(F.lit(True).alias("_own"), kind.alias("rule"), none.alias("value"))
+    held = [F.when(bad, F.struct(F.lit(False).alias("_own"), F.lit(n).alias("rule"), value.cast("string").alias("value")))
+            for n, (bad, value) in firsts.items()]
+    rows = lines.select("file_path", *tags, "block", "at", F.inline(F.array_compact(F.array(own, *held))))
+    blocks = rows.groupBy("file_path", *tags, "block", "_own", "rule").agg(
+        F.count("*").alias("n"), F.min(F.struct("at", "value")).alias("_first"))
+    ahead = Window.partitionBy("file_path").orderBy("block").rangeBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum(F.when(F.col("_own"), F.col("n"))).over(ahead), F.lit(0))  # lines of the blocks ahead
+    start = F.min(F.when(F.col("_own"), F.col("_first.at"))).over(Window.partitionBy("file_path", "block"))
+    placed = blocks.select("file_path", *tags, "rule", "n", F.struct(
+        (before + F.col("_first.at") - start + 1).alias("line"), F.col("_first.value").alias("value")).alias("_first"))
+    return placed.groupBy("file_path", *tags, "rule").agg(F.sum("n").alias("n"), F.min("_first").alias("_first")).select(
+        "file_path", *tags, "rule", "n", "_first.line", "_first.value")
