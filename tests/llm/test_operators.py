@@ -196,6 +196,50 @@ def test_encoder_equals_the_tokenizer(tokenizer, rows):
         assert list(np.frombuffer(got, "<u2")) == list(ids_of(tokenizer, text)[:-1]), text
 
 
+def test_encoder_forgets_long_pieces(tokenizer):
+    """What a worker remembers is bounded in bytes, not in pieces alone."""
+    rng = random.Random(5)
+    encoder = tokens.Encoder(open(tokens.default_tokenizer(), encoding="utf-8").read(), "<u2")
+    texts = [f"short {''.join(rng.choices('abcdefghij', k=5000))} {i} words" for i in range(20)]
+    for _ in range(2):
+        for text, got in zip(texts, encoder.encode(texts)):
+            assert list(np.frombuffer(got, "<u2")) == list(ids_of(tokenizer, text)[:-1])
+    assert 0 < len(encoder.ids) == encoder.size.sum() < 200
+    assert (np.diff(encoder.hash.astype(float)) > 0).all()
+
+
+@pytest.mark.skipif(not sys.platform.startswith("linux"), reason="memory is read from /proc")
+def test_workers_give_memory_back():
+    """Of 100 MB in small arrays, freed below one that stays, a worker keeps little after the batch."""
+    code = r"""
+import re
+import numpy as np, pyarrow as pa
+from tidewatt.llm import words
+held = lambda: int(re.search(r"RssAnon:\s+(\d+)", open("/proc/self/status").read())[1]) // 1024
+batch, kept, most = pa.record_batch({"text": ["a b", "c"]}), [], 0
+for _ in words.slices([batch]):
+    before = held()
+    parts = [np.ones(12_000) for _ in range(1_000)]
+    kept.append(np.ones(100))
+    most = held() - before
+    kept.append(parts.pop())
+    del parts
+assert most > 80 and held() - before < 20, (most, held() - before)
+
+def group(table):
+    parts = [np.ones(12_000) for _ in range(1_000)]
+    kept.append(np.ones(100))
+    kept.append(parts.pop())
+    return table
+
+assert words.released(group)(pa.table({"x": [1]})).num_rows == 1
+assert held() - before < 20, held() - before
+"""
+    folder = Path(__file__).resolve().parents[2]
+    done = subprocess.run([sys.executable, "-c", code], cwd=folder, capture_output=True, text=True)
+    assert done.returncode == 0, done.stderr
+
+
 def check_pieces(got, rows, tokenizer, window):
     by_doc, by_sequence = {}, {}
     for r in got:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatt.llm.shared import components, guarded, input_bytes, power_of_two, prepare, small, stored
-from tidewatt.llm.words import Sums, binaries, mix, slices
+from tidewatt.llm.words import Sums, binaries, mix, released, slices
 
 EDITS = 2
 FUZZY_LEAST = 30
@@ -142,6 +142,7 @@ def _near(letters: np.ndarray, a: np.ndarray, b: np.ndarray, edits: int) -> np.n
 def _meet(edits: int):
     """Pairs (smaller hash, larger hash) of lines of a bucket with a common key that letter counts allow."""
 
+    @released
     def run(table: pa.Table) -> pa.Table:
         read = lambda c, t: np.concatenate([np.frombuffer(x, t) for x in table.column(c).to_pylist()])
         key, line, letters, probe = read("keys", np.uint32), read("lines", np.int64), read("letters", _U), read("probes", np.uint8)

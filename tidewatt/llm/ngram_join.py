@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatt.llm.shared import components, guarded, input_bytes, power_of_two, prepare, small, stored
-from tidewatt.llm.words import binaries, mix, shingles, slices, words
+from tidewatt.llm.words import binaries, mix, released, shingles, slices, words
 
 HEAVY_DF = 8
 HEAVY_KEYS = 1 << 20
@@ -88,6 +88,7 @@ def _counter(k: int, bits: int):
 
 
 def _merge_counts(least: int):
+    @released
     def run(table: pa.Table) -> pa.Table:
         keys = np.concatenate([_unplanes(x) for x in table.column("keys").to_pylist()])
         counts = np.concatenate([np.frombuffer(x, "<u4") for x in table.column("counts").to_pylist()]).astype(np.int64)
@@ -201,6 +202,7 @@ def _post(bits: int):
     return run
 
 
+@released
 def _shared_postings(table: pa.Table) -> pa.Table:
     """Postings of keys that at least two groups of the bucket have."""
     read = lambda name, how: np.concatenate([how(x) for x in table.column(name).to_pylist()])

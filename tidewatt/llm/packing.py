@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tidewatt.llm.shared import power_of_two, small, stored
 from tidewatt.llm.tokens import tokenized
+from tidewatt.llm.words import release
 
 WINDOW = 2048
 PACKET = 512
@@ -111,6 +112,7 @@ def _digest(dtype: str, with_ids: bool):
                 if with_ids:
                     arrays.append(pa.array(columns[7], pa.binary()))
                 yield pa.RecordBatch.from_arrays(arrays, PIECE[:len(arrays)])
+            release()
 
     return run
 

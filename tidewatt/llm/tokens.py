@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from tidewatt.llm.shared import prepare, stored
 from tidewatt.llm.words import Sums, slices
 
-# Pieces whose ids a Python worker remembers, about 80 MB; further ones are encoded whenever they occur.
+# Pieces whose ids a Python worker remembers, about 45 MB; further ones, and those of more ids than SHORT, are encoded
+# whenever they occur.
 REMEMBERED = 2_000_000
+SHORT = 16
 
 # The text handling of the default tokenizer, which the short way below relies on.
 _NORMALIZER = ["NFC", "Replace", "Lowercase"]
@@ -71,7 +73,7 @@ class Encoder:
         self.alphabet = {c: to_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0x21, 0x100)}
         # Remembered pieces by ascending hash; the ids of entry i are ids[first[i]:first[i] + size[i]].
         self.hash = np.zeros(0, np.uint64)
-        self.first, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.first, self.size = np.zeros(0, np.uint32), np.zeros(0, np.uint8)
         self.ids = np.zeros(0, self.dtype)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -121,17 +123,18 @@ class Encoder:
             piece = pieces[i].tobytes().decode("latin-1").translate(self.alphabet)
             found.append([t.id for t in self.tokenizer.model.tokenize(piece)])
         sizes = np.array([len(x) for x in found], dtype=np.int64)
-        firsts = len(self.ids) + np.cumsum(sizes) - sizes
-        ids = np.concatenate([self.ids, np.array([y for x in found for y in x], dtype=self.dtype)])
+        own = np.array([y for x in found for y in x], dtype=self.dtype)
         first, size = np.empty(len(hashes), np.int64), np.empty(len(hashes), np.int64)
         first[known], size[known] = self.first[place[known]], self.size[place[known]]
-        first[new], size[new] = firsts, sizes
-        if len(self.hash) + len(new) <= REMEMBERED:
-            order = np.argsort(np.concatenate([self.hash, hashes[new]]), kind="stable")
-            self.hash = np.concatenate([self.hash, hashes[new]])[order]
-            self.first = np.concatenate([self.first, firsts])[order]
-            self.size = np.concatenate([self.size, sizes])[order]
-            self.ids = ids
+        first[new], size[new] = len(self.ids) + np.cumsum(sizes) - sizes, sizes
+        ids = np.concatenate([self.ids, own])
+        short = sizes <= SHORT
+        if len(self.hash) + short.sum() <= REMEMBERED:
+            at, own, sizes = place[new[short]], own[np.repeat(short, sizes)], sizes[short]
+            self.hash = np.insert(self.hash, at, hashes[new[short]])
+            self.first = np.insert(self.first, at, len(self.ids) + np.cumsum(sizes) - sizes)
+            self.size = np.insert(self.size, at, sizes)
+            self.ids = ids if short.all() else np.concatenate([self.ids, own])
         return first, size, ids
 
 
