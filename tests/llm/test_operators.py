@@ -10,6 +10,7 @@ import sys
 import time
 import zlib
 from pathlib import Path
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -428,6 +429,19 @@ def language_rows(n=120):
             for i, x in enumerate(rng.choice(list(LETTERS)) for _ in range(n))]
 
 
+def test_language_score_of_a_text_alone(spark):
+    """A text's score is the same to the last bit, whatever texts are judged beside it."""
+    rows = language_rows(200)
+    model = language_id.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    judge = language_id._predict(SimpleNamespace(value=model))
+    texts = [t[:1 + 7 * i] for i, t, _ in rows]
+    found = []
+    for size in (200, 61, 3, 1):
+        parts = [pa.record_batch({"_text": texts[i:i + size]}) for i in range(0, 200, size)]
+        found.append([x for out in judge(iter(parts)) for x in out.column("score").to_pylist()])
+    assert found[0] == found[1] == found[2] == found[3]
+
+
 def test_language_id(spark, nothing):
     rows = language_rows()
     docs = spark.createDataFrame([*rows, (900, None, "xx"), (901, "", "xx"), (902, "123 !?", None), (903, rows[0][1], None)],

@@ -30,6 +30,9 @@ CLASSES = 64
 _MARK = 255
 _FOLD = 1021
 CODES = CLASSES ** 3
+# Prototypes are multiples of 1 / PARTS. Counts are whole numbers, so sums of their products are exact in any order, and a
+# text's score doesn't depend on the texts judged with it.
+PARTS = 1 << 30
 # Texts of one matrix product, and the most distinct trigrams of one.
 BLOCK = 256
 UNDETERMINED = "und"
@@ -134,7 +137,7 @@ def train(docs: DataFrame) -> tuple[list[str], np.ndarray]:
         prototypes[i] = n[own].astype(np.float64) @ vectors(code[own])
     norms = np.linalg.norm(prototypes, axis=1)
     good = norms > 0
-    return [x for x, g in zip(langs, good) if g], (prototypes[good] / norms[good, None]).astype(np.float32)
+    return [x for x, g in zip(langs, good) if g], np.round(prototypes[good] / norms[good, None] * PARTS) / PARTS
 
 
 def _predict(model):
@@ -151,7 +154,8 @@ def _predict(model):
                     width = min(len(used) - at, 1 << 13)
                     counts = np.bincount(text[own] * width + column[own] - at, minlength=n * width)
                     bundle += counts.reshape(n, width).astype(np.float32) @ vectors(used[at:at + width]).astype(np.float32)
-                length = np.linalg.norm(bundle, axis=1)
+                bundle = bundle.astype(np.float64)
+                length = np.sqrt((bundle * bundle).sum(axis=1))
                 known = letters & bool(langs)
                 pred, score = np.full(n, UNDETERMINED, dtype=object), np.zeros(n)
                 if known.any():
